@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.packing import op1_mixture_packing
+from tidemark.llm import secrets
 from tidemark.llm.simhash import op5_simhash_near_dedup
 from tidemark.llm.token_counts import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture_packing": op1_mixture_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_secret_scans": secrets.op7_secret_scans,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_secret_scans": secrets.ORACLE,
+}
