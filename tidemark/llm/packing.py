@@ -38,7 +38,9 @@ LENGTH, END, QUANTUM = 2048, 1, 32
 #: Sources whose totals may go to every task: 16 bytes each.
 MOST_QUEUES = 100_000
 #: Window borders times queues that a task holds at once.
-BORDERS_HELD = 2_000_000
+BORDERS_HELD = 200_000
+#: Rows that a task turns into ids or pieces at once.
+ROWS_HELD = 256
 NO_SOURCE = "\x00"
 
 
@@ -47,6 +49,12 @@ def encoder(path: str | None) -> Encoder:
     return Encoder(path or default_path())
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, ROWS_HELD):
+            yield b.slice(k, ROWS_HELD)
+
+
 class Mixture:
     """What each queue has been served at a window's border."""
 
@@ -97,11 +105,11 @@ def tokenise(docs: DataFrame, id_col: str, text_col: str, source_col: str, end:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at, tail = TaskContext.get().partitionId(), {}, np.array([end], "<u4").tobytes()
-        encode = encoder(path).encode
-        for b in batches:
+        encode = encoder(path).encode_many
+        for b in slices(batches):
             ids, places = [], []
-            for q, t in zip(b.column(1).to_pylist(), b.column(2)):
-                ids.append(encode(t.as_py() or "") + tail)
+            for q, made in zip(b.column(1).to_pylist(), encode([t or "" for t in b.column(2).to_pylist()])):
+                ids.append(made + tail)
                 places.append(at.get(q, 0))
                 at[q] = places[-1] + len(ids[-1]) // 4
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
@@ -144,7 +152,7 @@ def pack(
     kind = tokens.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             queue = np.array([number[q] for q in b.column(1).to_pylist()], np.int64)
             n, first = b.column(3).to_numpy(), b.column(2).to_numpy() + b.column(5).to_numpy()
             if len(n):
@@ -168,10 +176,10 @@ def pack(
             d, w, a, z, offset = d[keep], w[keep], a[keep], z[keep], offset[keep]
             start = a - first[d]
             raw = b.column(4)
-            ids = [raw[int(x)].as_buffer()[4 * int(s) : 4 * int(e)] for x, s, e in zip(d, start, start + z - a)]
+            ids = [raw[int(x)].as_buffer().slice(4 * int(s), 4 * int(m)).to_pybytes() for x, s, m in zip(d, start, z - a)]
             take = pa.array(d)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), *(pa.array(x, pa.int64()) for x in (start, z - a, n[d], w, offset)), pa.array([x.to_pybytes() for x in ids], pa.binary())],
+                [b.column(0).take(take), b.column(1).take(take), *(pa.array(x, pa.int64()) for x in (start, z - a, n[d], w, offset)), pa.array(ids, pa.binary())],
                 names=["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
             )
 
