@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.packing import op1_mixture_packing
 from tidemark.llm import secrets
+from tidemark.llm.quality import op9_compression_quality
 from tidemark.llm.simhash import op5_simhash_near_dedup
 from tidemark.llm.token_counts import op10_token_counts
 
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture_packing": op1_mixture_packing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_secret_scans": secrets.op7_secret_scans,
+    "op9_compression_quality": op9_compression_quality,
     "op10_token_counts": op10_token_counts,
 }
 
