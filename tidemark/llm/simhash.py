@@ -165,15 +165,17 @@ def signed(x: int) -> int:
 def buckets(fp: str, groups: list[tuple[list[int], int]], ball: bool) -> F.Column:
     """Keys of a fingerprint: its bits in each group, or those of the whole ball around it."""
     keys = []
-    for i, (g, t) in enumerate(groups):
-        mask = sum(1 << b for b in g)
+    for number, (g, t) in enumerate(groups):
         flips = [sum(1 << b for b in c) for k in range((t if ball else 0) + 1) for c in combinations(g, k)]
-        own = F.col(fp).bitwiseAND(F.lit(signed(mask)))
-        made = F.transform(F.array(*(F.lit(signed(x)).cast("long") for x in flips)), lambda x, own=own: own.bitwiseXOR(x))
-        keys.append(F.transform(made, lambda k, i=i: F.struct(F.lit(i).alias("g"), k.alias("key"))))
+        own = F.col(fp).bitwiseAND(F.lit(signed(sum(1 << b for b in g))))
+        keys.append(_keys(F.lit(number), own, F.array(*(F.lit(signed(x)).cast("long") for x in flips))))
     return F.explode(F.concat(*keys))
 
 
+def _keys(number: F.Column, own: F.Column, flips: F.Column) -> F.Column:
+    return F.transform(flips, lambda x: F.struct(number.alias("g"), own.bitwiseXOR(x).alias("key")))
+
+
 def near(a: str, b: str, distance: int) -> F.Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= distance
 
