@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.decontaminate import op2_cgk_decontamination
 from tidemark.llm.packing import op1_mixture_packing
 from tidemark.llm import secrets
 from tidemark.llm.quality import op9_compression_quality
@@ -14,6 +15,7 @@ from tidemark.llm.token_counts import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture_packing": op1_mixture_packing,
+    "op2_cgk_decontamination": op2_cgk_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_secret_scans": secrets.op7_secret_scans,
     "op9_compression_quality": op9_compression_quality,
