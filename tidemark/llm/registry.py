@@ -12,12 +12,14 @@ from tidemark.llm import secrets
 from tidemark.llm.quality import op9_compression_quality
 from tidemark.llm.simhash import op5_simhash_near_dedup
 from tidemark.llm.token_counts import op10_token_counts
+from tidemark.llm.vector_dedup import op8_nn_descent
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture_packing": op1_mixture_packing,
     "op2_cgk_decontamination": op2_cgk_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_secret_scans": secrets.op7_secret_scans,
+    "op8_nn_descent": op8_nn_descent,
     "op9_compression_quality": op9_compression_quality,
     "op10_token_counts": op10_token_counts,
 }
