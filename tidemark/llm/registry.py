@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import secrets, span_dedup
 from tidemark.llm.decontaminate import op2_cgk_decontamination
 from tidemark.llm.packing import op1_mixture_packing
-from tidemark.llm import secrets
 from tidemark.llm.quality import op9_compression_quality
 from tidemark.llm.simhash import op5_simhash_near_dedup
 from tidemark.llm.token_counts import op10_token_counts
@@ -17,6 +17,7 @@ from tidemark.llm.vector_dedup import op8_nn_descent
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture_packing": op1_mixture_packing,
     "op2_cgk_decontamination": op2_cgk_decontamination,
+    "op4_sentence_span_dedup": span_dedup.op4_sentence_span_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_secret_scans": secrets.op7_secret_scans,
     "op8_nn_descent": op8_nn_descent,
@@ -25,5 +26,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_sentence_span_dedup": span_dedup.ORACLE,
     "op7_secret_scans": secrets.ORACLE,
 }
