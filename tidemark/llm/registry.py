@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import secrets, span_dedup
+from tidemark.llm import licenses, secrets, span_dedup
 from tidemark.llm.decontaminate import op2_cgk_decontamination
 from tidemark.llm.packing import op1_mixture_packing
 from tidemark.llm.quality import op9_compression_quality
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cgk_decontamination": op2_cgk_decontamination,
     "op4_sentence_span_dedup": span_dedup.op4_sentence_span_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_license_scans": licenses.op6_license_scans,
     "op7_secret_scans": secrets.op7_secret_scans,
     "op8_nn_descent": op8_nn_descent,
     "op9_compression_quality": op9_compression_quality,
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_license_scans": licenses.ORACLE,
     "op4_sentence_span_dedup": span_dedup.ORACLE,
     "op7_secret_scans": secrets.ORACLE,
 }
