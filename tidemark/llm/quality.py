@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from math import exp, log
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,19 +131,38 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return Model(good, bad, tuple(_curve(x, np.array([c for _, c in rest])).tolist()))
 
 
+def scorer(model: Model):
+    """A function of one text."""
+    meter, w = Meter(model.good, model.bad) if model.good else None, model.weights
+
+    def run(text: str | None) -> float:
+        x = meter.features(text or "") if meter else [1.0]
+        return 1 / (1 + exp(-min(30.0, max(-30.0, sum(a * c for a, c in zip(x, w))))))
+
+    return run
+
+
+def score_column(model: Model, text_col: str = "text") -> F.Column:
+    """The score as a column; only the text goes to Python, and all rows stay where they are."""
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = scorer(model)
+        for b in batches:
+            yield pd.Series([of(t) for t in b], dtype="float64")
+
+    return run(F.col(text_col))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All of ``docs`` with ``score``, from 0 to 1; higher for text more like the good one."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        meter = Meter(model.good, model.bad) if model.good else None
-        w = model.weights
+        of = scorer(model)
         for b in batches:
-            made = []
-            for t in b.column(1):
-                x = meter.features(t.as_py() or "") if meter else [1.0]
-                made.append(1 / (1 + exp(-min(30.0, max(-30.0, sum(a * c for a, c in zip(x, w)))))))
+            made = [of(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.float64())], names=["id", "score"])
 
     return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
