@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import licenses, secrets, span_dedup
+from tidemark.llm import licenses, secrets, span_dedup, tool_calls
 from tidemark.llm.decontaminate import op2_cgk_decontamination
 from tidemark.llm.packing import op1_mixture_packing
 from tidemark.llm.quality import op9_compression_quality
@@ -17,6 +17,7 @@ from tidemark.llm.vector_dedup import op8_nn_descent
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture_packing": op1_mixture_packing,
     "op2_cgk_decontamination": op2_cgk_decontamination,
+    "op3_tool_call_linking": tool_calls.op3_tool_call_linking,
     "op4_sentence_span_dedup": span_dedup.op4_sentence_span_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_license_scans": licenses.op6_license_scans,
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_tool_call_linking": tool_calls.ORACLE,
     "op6_license_scans": licenses.ORACLE,
     "op4_sentence_span_dedup": span_dedup.ORACLE,
     "op7_secret_scans": secrets.ORACLE,
