@@ -62,12 +62,9 @@ def nodes_of(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -
     sound = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & (F.size("vec") > 0) & sound & F.exists("vec", lambda x: x != 0), F.lit(False))
     distinct = rows.where(usable).groupBy("label", "vec").agg(F.count("*").alias("copies"), F.min("id").alias("least"))
-    distinct = distinct.select(F.xxhash64("label", "vec").alias("node"), "label", F.size("vec").alias("dim"), "vec", "copies", "least")
-    nodes = scratch.materialise(distinct)
-    if nodes.select("node").distinct().count() != nodes.count():
-        raise ValueError("two vectors have one hash; salt the node ids")
-    members = rows.select("id", F.when(usable, F.xxhash64("label", "vec")).alias("node"))
-    return nodes, members
+    # Numbered as they are written, so a node has one id whatever the rows' ids are.
+    nodes = scratch.materialise(distinct.select(F.monotonically_increasing_id().alias("node"), "label", F.size("vec").alias("dim"), "vec", "copies", "least"))
+    return nodes, rows.join(nodes.select("label", "vec", "node"), ["label", "vec"], "left").select("id", "node")
 
 
 def leaves(nodes: DataFrame, seed: int, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
