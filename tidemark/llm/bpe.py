@@ -61,7 +61,9 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = library(path)
+        #: Words of late, and those before them: words that recur stay, in bounded memory.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.fast, self.sizes = self._engine(path)
 
     @staticmethod
@@ -109,10 +111,12 @@ class Encoder:
         return out
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        if len(self.known) > REMEMBERED // 2:
-            self.known.clear()
+        if len(self.known) > REMEMBERED // 8:
+            self.known, self.older = {}, self.known
+        new = {w: ids for w in words if (ids := self.older.get(w)) is not None}
+        words = [w for w in words if w not in new] if new else words
         latin = [w for w in words if self.fast and (w.isascii() or max(w) < "\u0250") and "<|" not in w]
-        new = {w: self._library(" " + w) for w in set(words).difference(latin)}
+        new |= {w: self._library(" " + w) for w in set(words).difference(latin)}
         if latin:
             ids = np.array(self.fast.encode_ordinary(" " + " ".join(latin)), np.int64)
             ends = np.cumsum(np.array([len(w) + 1 if w.isascii() else len(w.encode("utf-8")) + 1 for w in latin]))

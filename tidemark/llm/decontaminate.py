@@ -37,7 +37,7 @@ RATE, RECALL, SAMPLED, MOST_SAMPLES, SEED = 0.2, 0.98, 3, 256, 7
 #: Benchmark words that go to the tasks at a time; a larger benchmark takes several passes.
 WORDS_HELD = 1_000_000
 #: Tokens of documents that a task remembers; beyond it the memory starts afresh.
-TOKENS_HELD = 300_000
+TOKENS_HELD = 100_000
 
 
 def words_of(text: str) -> list[str]:
