@@ -44,15 +44,18 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark and ``n_chars`` counted anew where they were."""
     found, _ = secrets.scan(docs, path_col="doc_id")
-    hits = scratch.materialise(found.where(F.size("findings") > 0).select(F.col("path").alias("_path"), F.col("blob").alias("_blob"), F.col("findings").alias("_findings")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_path")) & (secrets.address(F.col("text")) == F.col("_blob"))
-    joined = docs.join(hits, same, "left")
+    hits = found.where(F.size("findings") > 0).select(F.col("path").alias("_path"), F.col("blob").alias("_blob"), F.col("findings").alias("_findings")).distinct()
+    # Texts that can't hold a finding stay where they are; the few others meet theirs.
+    may = secrets.hinted(F.coalesce("text", F.lit("")))
+    some = docs.where(may)
+    same = some["doc_id"].eqNullSafe(F.col("_path")) & (secrets.address(some["text"]) == F.col("_blob"))
+    joined = some.join(hits, same, "left")
     text = F.when(F.col("_findings").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("_findings")))
     clean = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         clean = clean.withColumn("n_chars", F.when(F.col("_findings").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
-    return clean.select(*docs.columns)
+    return docs.where(~may).unionByName(clean.select(*docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,9 @@
 Texts are content-addressed: a blob is the SHA-256 of a text, and the ledger
 knows which pairs of blob and rule version have been scanned and what was found.
 A scan reads texts of unseen pairs only, one row for each distinct blob however
-many paths or versions carry it; findings join back to every path.  Everything
+many paths or versions carry it; findings join back to every path.  On a first
+load, when all blobs are unseen, a necessary condition of any finding is tested
+where the texts lie, and only texts that meet it move to be scanned.  Everything
 is DataFrame expressions; findings are offsets in code points, end exclusive.
 
 A null text is the empty blob, a null path stays a path.  Repeated rows keep a
@@ -74,6 +76,14 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
     return F.when(F.regexp_like(text, F.lit(rule.hint)), F.aggregate(matches, zero, step, lambda acc: acc["found"])).otherwise(empty)
 
 
+def hinted(text: Column, rules: tuple[Rule, ...] = BASE) -> Column:
+    """A necessary condition of any finding."""
+    out = F.lit(False)
+    for r in rules:
+        out = out | F.regexp_like(text, F.lit(r.hint))
+    return out
+
+
 def address(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
@@ -85,24 +95,31 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, path_col: str = "
     ``(findings, ledger)``, findings in the order of their starts, then of the rules: the first has ``path, blob, findings`` for every row of
     ``versions``, the second the ledger to keep (old and new pairs).
     """
-    spark = versions.sparkSession
     rows = versions.select(F.col(path_col).alias("path"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows = rows.withColumn("blob", address(F.col("text")))
-    seen = ledger if ledger is not None else spark.createDataFrame([], LEDGER)
-    current = seen.where(F.col("rule_version") == version)
+    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     # One place of each unseen blob: what is compared, grouped and joined are addresses, not texts.
-    paths = scratch.materialise(rows.select("path", "blob"))
-    places = paths.groupBy("blob").agg(F.min(F.struct(F.col("path").isNull().alias("none"), "path")).alias("place"))
-    fresh = places.join(current.select("blob"), "blob", "left_anti")
+    if ledger is None:
+        current = None
+        paths = scratch.materialise(rows.select("path", "blob", hinted(F.col("text"), rules).alias("hinted")))
+        fresh = paths.groupBy("blob", "hinted").agg(F.min(F.struct(F.col("path").isNull().alias("none"), "path")).alias("place"))
+        quiet = fresh.where("not hinted").select("blob", F.lit(version).alias("rule_version"), empty.alias("findings"))
+        fresh, rows = fresh.where("hinted"), rows.where(hinted(F.col("text"), rules))
+    else:
+        current = ledger.where(F.col("rule_version") == version)
+        paths, quiet = scratch.materialise(rows.select("path", "blob")), None
+        places = paths.groupBy("blob").agg(F.min(F.struct(F.col("path").isNull().alias("none"), "path")).alias("place"))
+        # Written first: where little is new, its known size spares the texts a shuffle.
+        fresh = scratch.materialise(places.join(current.select("blob"), "blob", "left_anti"))
     fresh = fresh.select(F.col("blob").alias("b"), F.col("place.path").alias("p"))
-    unseen = rows.join(fresh.hint("shuffle_hash"), (rows["blob"] == fresh["b"]) & rows["path"].eqNullSafe(fresh["p"]), "left_semi")
+    unseen = rows.join(fresh.hint("shuffle_hash") if ledger is None else fresh, (rows["blob"] == fresh["b"]) & rows["path"].eqNullSafe(fresh["p"]), "left_semi")
     found = F.array_sort(F.concat(*(spans(F.col("text"), r, k) for k, r in enumerate(rules))))
     # A path can hold a blob twice; its findings are the same, so any copy will do.
     scanned = unseen.select("blob", F.lit(version).alias("rule_version"), found.alias("findings"))
-    scanned = scratch.materialise(scanned.groupBy("blob", "rule_version").agg(F.max("findings").alias("findings")))
-    known = current.unionByName(scanned) if ledger is not None else scanned
+    scanned = scanned.groupBy("blob", "rule_version").agg(F.max("findings").alias("findings"))
+    scanned = scratch.materialise(scanned if quiet is None else scanned.unionByName(quiet))
+    known = scanned if current is None else current.unionByName(scanned)
     hits = known.where(F.size("findings") > 0).select("blob", "findings")
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     joined = paths.join(hits, "blob", "left").select("path", "blob", F.coalesce("findings", empty).alias("findings"))
     return joined, (ledger.unionByName(scanned) if ledger is not None else scanned)
 
