@@ -10,7 +10,8 @@ def union_find(n, pairs):
 
     def find(x):
         while up[x] != x:
-            x = up[x] = up[up[x]]
+            up[x] = up[up[x]]
+            x = up[x]
         return x
 
     for a, b in pairs:

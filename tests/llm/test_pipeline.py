@@ -41,7 +41,8 @@ def test_pipeline_against_brute_force(spark, sf, stages):
 
     def find(x):
         while up[x] != x:
-            x = up[x] = up[up[x]]
+            up[x] = up[up[x]]
+            x = up[x]
         return x
 
     for i, a in enumerate(ids):
