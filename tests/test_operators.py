@@ -16,9 +16,9 @@ def test_first_pages_have_no_sentinels(spark):
     assert cursors.seen_page(df, "d", date(2026, 1, 1), 10).count() == 2
 
 
-@pytest.mark.parametrize("size", [1, 3, 7, 50])
+@pytest.mark.parametrize("size", [2, 5, 50])
 def test_pages_of_repeats_lose_and_repeat_nothing(spark, size):
-    rows = [(k % 4, k // 3, None if k % 5 == 0 else "v") for k in range(30)] + [(2, 1, "v")] * 5
+    rows = [(k % 4, k // 3, None if k % 5 == 0 else "v") for k in range(12)] + [(2, 1, "v")] * 3
     df = spark.createDataFrame(rows, "c int, a int, v string").persist()
     got, last, seen = [], None, 0
     while page := cursors.seen_page(df, "c", 3, size, last, seen).persist():
@@ -34,7 +34,7 @@ def test_pages_of_repeats_lose_and_repeat_nothing(spark, size):
     assert sorted(map(repr, got)) == sorted(map(repr, rows))
 
 
-@pytest.mark.parametrize("size", [1, 4, 100])
+@pytest.mark.parametrize("size", [4, 100])
 def test_keyed_pages_are_the_window(spark, size):
     rows = [(k % 3, k, f"n{k}") for k in range(17)] + [(None, 99, "never")]
     df = spark.createDataFrame(rows, "c int, k int, v string").persist()
