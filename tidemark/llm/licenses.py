@@ -4,8 +4,10 @@ Lines and whole texts are normalised to lower-case words and compared with
 licence templates. With a bigrams in the text, b in the template and i in
 common (repeats counted), the coefficient is ``2 i / (a + b)``; it can reach t
 only if ``b * t / (2 - t) <= a <= b * (2 - t) / t``, so a unit meets just the
-templates of a fitting size, by an equi-join on the size.  Everything is
-DataFrame expressions.
+templates of a fitting size, by an equi-join on the size.  It also needs
+``b * t / (2 - t)`` bigrams of the template, so of any larger share of the
+template's bigrams at least one; words that such a share must hold are looked for
+first, in whole texts and then in units.  Everything is DataFrame expressions.
 
 A null text has no lines; lines of one word have no bigrams and match nothing.
 Ties between templates go to the name that sorts first.  Repeated rows give
@@ -14,6 +16,10 @@ their own rows, and an empty table none.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +73,21 @@ def bigrams(normal: Column) -> Column:
     return bound(bound(F.split(normal, " "), pairs), numbered)
 
 
+def anchors(templates: dict[str, str], threshold: float) -> list[str]:
+    """Words of which a text holds at least one, if any template reaches the threshold with it."""
+    chosen: set[str] = set()
+    for text in templates.values():
+        words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
+        pairs = list(zip(words, words[1:]))
+        need = len(pairs) - ceil(len(pairs) * threshold / (2 - threshold) - 1e-9) + 1
+        open_pairs = [p for p in pairs if not chosen & set(p)]
+        while pairs and len(pairs) - len(open_pairs) < need:
+            gain = Counter(w for p in open_pairs for w in set(p))
+            chosen.add(max(gain, key=lambda w: (len(w) > 4, gain[w], len(w), w)))
+            open_pairs = [p for p in open_pairs if not chosen & set(p)]
+    return sorted(chosen)
+
+
 def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, line, unit``: each line, and as line -1 a whole text of several lines."""
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -86,7 +107,10 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     known = known.withColumn("b", word_count(F.col("t")) - 1).where("b > 0")
     sizes = F.sequence(F.greatest(F.lit(1), F.ceil(F.col("b") * (threshold / (2 - threshold)) - 1e-9).cast("int")), F.floor(F.col("b") * ((2 - threshold) / threshold) + 1e-9).cast("int"))
     known = known.select("license", "b", bigrams(F.col("t")).alias("theirs"), F.explode(sizes).alias("a"))
-    rows = units(docs, id_col, text_col).select("id", "line", normalised(F.col("unit")).alias("n"))
+    # Without anchors no template has a bigram, and the pattern matches nothing.
+    pattern = F.lit("(?<![a-z0-9])(?:" + ("|".join(anchors(templates, threshold)) or "(?!)") + ")(?![a-z0-9])")
+    may = lambda c: F.regexp_like(F.lower(c), pattern)
+    rows = units(docs.where(may(F.col(text_col))), id_col, text_col).where(may(F.col("unit"))).select("id", "line", normalised(F.col("unit")).alias("n"))
     rows = rows.withColumn("a", word_count(F.col("n")) - 1)
     most = known.agg(F.max("a")).first()[0] or 0
     rows = rows.where((F.col("a") > 0) & (F.col("a") <= most)).withColumn("ours", bigrams(F.col("n")))
