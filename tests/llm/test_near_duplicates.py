@@ -108,3 +108,14 @@ def test_vectors(spark, rng):
     assert [k for k in got if got[k] != want[k]] == []
     empty = vector_dedup.near_duplicates(df.limit(0))
     assert empty.count() == 0
+
+
+def test_links_between_saturated_groups(spark, rng):
+    axes = np.linalg.qr(rng.standard_normal((64, 64)))[0]
+    # Ten groups of 40, about 0.99 inside and 0.95 across: no list of 16 leaves its group.
+    rows = [(40 * g + k, (axes[0] + 0.23 * axes[g + 1] + 0.01 * rng.standard_normal(64)).tolist(), 1) for g in range(10) for k in range(40)]
+    rows += [(1000 + k, rng.standard_normal(64).tolist(), k % 2) for k in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_duplicates(df).collect()}
+    assert got == brute_force(rows)
+    assert {got[k][1] for k in range(400)} == {0} and min(got[k][0] for k in range(400)) > 39

@@ -3,10 +3,12 @@
 Equal vectors of a label are one node.  Random-projection trees put nodes into
 small leaves, whose members' nearest neighbours start a graph; then neighbours of
 neighbours are compared and better ones kept, until little changes.  A node whose
-list is full of links is saturated: its list is enlarged to its whole component,
-compared block by block and counted without writing pairs.  Recall is audited on
-a fixed number of nodes against all others; if it falls short, new trees add to
-the graph.  Edges at or above the threshold remain, so no reported link is wrong.
+list is full of links is saturated: its whole component is compared with all nodes
+of its label, block by block, and counted without writing pairs.  Components that
+turn out to be linked are merged, and what they bring is compared too, until
+nothing new appears.  Recall is audited on a fixed number of the other nodes; if
+it falls short, new trees add to the graph.  Edges at or above the threshold
+remain, so no reported link is wrong.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and
 those with a null label, link with nothing.  Vectors of different lengths never
@@ -162,11 +164,11 @@ def refine(start: DataFrame, nodes: DataFrame, n: int, k: int, floor: float, rou
     return spark.read.parquet(path)
 
 
-def audit(graph: DataFrame, nodes: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """Share of the links of ``audited`` nodes (least hashes) that the graph has; compared with all nodes.
+def audit(both: DataFrame, sparse: DataFrame, nodes: DataFrame, threshold: float, audited: int = AUDITED) -> float:
+    """Share of the links of ``audited`` nodes (least hashes) that the result has; compared with all nodes.
 
-    A node with a full list counts as found: its list is enlarged later."""
-    asked = nodes.orderBy(F.xxhash64(F.lit(1), "node")).select("node", "label", "dim", "vec").limit(audited).collect()
+    ``sparse`` holds the nodes to choose from, those that weren't compared with all."""
+    asked = sparse.orderBy(F.xxhash64(F.lit(1), "node")).select("node", "label", "dim", "vec").limit(audited).collect()
     spaces: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
     for key in {(r["label"], r["dim"]) for r in asked}:
         own = [r for r in asked if (r["label"], r["dim"]) == key]
@@ -186,35 +188,81 @@ def audit(graph: DataFrame, nodes: DataFrame, threshold: float, audited: int = A
                         yield _edges(queries[i[keep]], other[keep], np.ones(int(keep.sum())))
 
     true = nodes.select("node", "label", "dim", "vec").mapInArrow(run, "v long, u long, sim double").groupBy("v").agg(F.count("*").alias("links"))
-    links = graph.where(F.col("sim") >= threshold)
-    found = links.select("v", "u").union(links.select("u", "v")).distinct().groupBy("v").agg(F.count("*").alias("got"))
-    full = links.groupBy("v").agg((F.count("*") >= NEIGHBOURS).alias("full"))
-    got = F.when(F.coalesce("full", F.lit(False)), F.col("links")).otherwise(F.least("links", F.coalesce("got", F.lit(0))))
-    row = true.join(found, "v", "left").join(full, "v", "left").agg(F.sum("links").alias("links"), F.sum(got).alias("got")).first()
+    found = both.groupBy("v").agg(F.count("*").alias("got"))
+    row = true.join(found, "v", "left").agg(F.sum("links").alias("links"), F.sum(F.least("links", F.coalesce("got", F.lit(0)))).alias("got")).first()
     return (row["got"] or 0) / row["links"] if row["links"] else 1.0
 
 
-def count_in_blocks(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
-    """``node, weight``: copies linked to each node within its component, all compared in blocks.
-
-    ``members`` has ``node, component, dim, vec, copies``."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    placed = members.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    item = F.struct("node", "vec", "copies")
-    spread = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = placed.select("component", "dim", F.col("own").alias("a"), spread.alias("b"), F.lit(True).alias("asks"), item.alias("m"))
-    right = placed.select("component", "dim", spread.alias("a"), F.col("own").alias("b"), F.lit(False).alias("asks"), item.alias("m"))
-    groups = left.union(right).groupBy("component", "dim", "a", "b").agg(F.collect_list(F.struct("asks", "m.node", "m.vec", "m.copies")).alias("members"))
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect just what the edges ``a, b`` connect, at most one for each end."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = at[: len(a)], at[len(a) :]
+    root = np.arange(len(ids))
+    while True:
+        low, new = np.minimum(root[i], root[j]), root.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    keep = root != np.arange(len(ids))
+    return ids[keep], ids[root[keep]]
+
+
+def compare_in_blocks(asked: DataFrame, nodes: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """``node, weight, a, b``: copies linked to each asked node among all ``nodes`` of its label, all compared in blocks;
+    and, in rows without a node, pairs of components that links join.
+
+    Both have ``node, component, label, dim, vec, copies``."""
+    key = ["label", "dim"]
+    blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    sizes = blocks(asked, "na").join(blocks(nodes, "nb"), key)
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    item = F.struct("node", "component", "vec", "copies")
+    left = asked.join(F.broadcast(sizes), key).select(*key, own("na").alias("a"), spread("nb").alias("b"), F.lit(True).alias("asks"), item.alias("m"))
+    right = nodes.join(F.broadcast(sizes), key).select(*key, spread("na").alias("a"), own("nb").alias("b"), F.lit(False).alias("asks"), item.alias("m"))
+    groups = left.union(right).groupBy(*key, "a", "b").agg(F.collect_list(F.struct("asks", "m.node", "m.component", "m.vec", "m.copies")).alias("members"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, got in _groups(batches, "members"):
             asks = got.field("asks").to_numpy(zero_copy_only=False).astype(bool)
-            ids, copies = got.field("node").to_numpy(zero_copy_only=False), got.field("copies").to_numpy(zero_copy_only=False)
+            if asks.all() or not asks.any():
+                continue
+            ids, copies, comp = (got.field(c).to_numpy(zero_copy_only=False) for c in ("node", "copies", "component"))
             x = _unit(_matrix(got.field("vec"), row["dim"]))
             linked = (x[asks] @ x[~asks].T >= threshold) & (ids[asks][:, None] != ids[~asks][None, :])
-            yield pa.RecordBatch.from_arrays([pa.array(ids[asks], pa.int64()), pa.array(linked @ copies[~asks], pa.int64())], names=["node", "weight"])
-
-    return groups.select("dim", "members").mapInArrow(run, "node long, weight long").groupBy("node").agg(F.sum("weight").alias("weight"))
+            weight = linked @ copies[~asks]
+            some = weight > 0
+            v = [ids[asks][some], weight[some]]
+            i, j = np.nonzero(linked & (comp[asks][:, None] != comp[~asks][None, :]))
+            a, b = _forest(comp[asks][i], comp[~asks][j])
+            n, m = len(v[0]), len(a)
+            cols = [pa.concat_arrays([pa.array(c, pa.int64()), pa.nulls(m, pa.int64())]) for c in v]
+            cols += [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(c, pa.int64())]) for c in (a, b)]
+            yield pa.RecordBatch.from_arrays(cols, names=["node", "weight", "a", "b"])
+
+    return groups.select("dim", "members").mapInArrow(run, "node long, weight long, a long, b long")
+
+
+def enlarge(nodes: DataFrame, both: DataFrame, seeds: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``node, component`` of all nodes, and ``node, weight`` of those compared with all nodes of their label:
+    the components of the ``seeds``, and what is found to be linked to them."""
+    found = connected_components(both, "v", "u")
+    placed = scratch.materialise(nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    exact = scratch.materialise(nodes.select("node", F.lit(0).cast("long").alias("weight")).limit(0))
+    seeds = scratch.materialise(seeds.select("node").distinct())
+    while True:
+        dense = placed.join(seeds, "node", "left_semi").select("component").distinct()
+        asked = scratch.materialise(placed.join(dense, "component", "left_semi").join(exact, "node", "left_anti").select(*placed.columns))
+        if asked.isEmpty():
+            return placed, exact
+        got = scratch.materialise(compare_in_blocks(asked, placed, threshold))
+        weights = got.where("node is not null").groupBy("node").agg(F.sum("weight").alias("weight"))
+        exact = scratch.materialise(exact.union(asked.select("node").join(weights, "node", "left").select("node", F.coalesce("weight", F.lit(0)))))
+        joined = connected_components(got.where("node is null"), "a", "b").select(F.col("node").alias("component"), F.col("component").alias("above"))
+        placed = scratch.materialise(placed.join(joined, "component", "left").select("node", "label", "dim", "vec", "copies", "least", F.coalesce("above", "component").alias("component")))
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, k: int = NEIGHBOURS) -> DataFrame:
@@ -227,19 +275,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         start = nearest_in(leaves(nodes, seed=attempt), k, floor)
         start = start if graph is None else start.union(graph)
         graph = refine(start, nodes, n, k, floor, ROUNDS)
-        if audit(graph, nodes, threshold) >= RECALL:
+        links = graph.where(F.col("sim") >= threshold)
+        both = scratch.materialise(links.select("v", "u").union(links.select("u", "v")).distinct())
+        saturated = links.groupBy(F.col("v").alias("node")).agg(F.count("*").alias("c")).where(F.col("c") >= k)
+        placed, exact = enlarge(nodes, both, saturated, threshold)
+        if audit(both, nodes.join(exact, "node", "left_anti"), nodes, threshold) >= RECALL:
             break
-    links = graph.where(F.col("sim") >= threshold)
-    both = scratch.materialise(links.select("v", "u").union(links.select("u", "v")).distinct())
-    components = connected_components(both, "v", "u")
     copies = nodes.select(F.col("node").alias("u"), "copies")
     sparse = both.join(copies, "u").groupBy(F.col("v").alias("node")).agg(F.sum("copies").alias("some"))
-    saturated = links.groupBy("v").agg(F.count("*").alias("c")).where(F.col("c") >= k)
-    dense = saturated.join(components, saturated["v"] == components["node"]).select("component").distinct()
-    dense_members = components.join(dense, "component", "left_semi").join(nodes, "node").select("node", "component", "dim", "vec", "copies")
-    exact = count_in_blocks(dense_members, threshold)
-    by_node = nodes.select("node", "copies", "least").join(components, "node", "left").join(sparse, "node", "left").join(exact, "node", "left")
-    by_node = by_node.select("node", "least", F.coalesce("component", "node").alias("component"), (F.col("copies") - 1 + F.coalesce("weight", "some", F.lit(0))).alias("n_links"))
+    by_node = placed.select("node", "copies", "least", "component").join(sparse, "node", "left").join(exact, "node", "left")
+    by_node = by_node.select("node", "least", "component", (F.col("copies") - 1 + F.coalesce("weight", "some", F.lit(0))).alias("n_links"))
     by_node = scratch.materialise(by_node)
     named = by_node.join(by_node.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "n_links", "component_id")
     out = members.join(named, "node", "left")
