@@ -119,3 +119,20 @@ def test_links_between_saturated_groups(spark, rng):
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_duplicates(df).collect()}
     assert got == brute_force(rows)
     assert {got[k][1] for k in range(400)} == {0} and min(got[k][0] for k in range(400)) > 39
+
+
+def test_search_that_misses_its_target(spark, rng, monkeypatch):
+    found = vector_dedup.nearest_in
+    monkeypatch.setattr(vector_dedup, "nearest_in", lambda groups, k, floor: found(groups, k, 2.0))  # no tree finds anything
+    rows = [(k, rng.standard_normal(16).tolist(), k % 2) for k in range(40)]
+    rows += [(100 + k, (np.array(rows[k][1]) + 0.05 * rng.standard_normal(16)).tolist(), k % 2) for k in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_duplicates(df).collect()}
+    assert got == brute_force(rows) and sum(n for n, _ in got.values()) >= 40
+
+
+def test_trees_grow_with_the_label():
+    kept = 1 - np.arccos(0.93) / np.pi
+    for n, levels in ((90, 0), (100_000, 11), (10_000_000, 17)):
+        trees = vector_dedup.trees_needed(n, 0.93)
+        assert 1 - (1 - kept**levels) ** trees >= 0.95

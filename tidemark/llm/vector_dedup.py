@@ -6,9 +6,10 @@ neighbours are compared and better ones kept, until little changes.  A node whos
 list is full of links is saturated: its whole component is compared with all nodes
 of its label, block by block, and counted without writing pairs.  Components that
 turn out to be linked are merged, and what they bring is compared too, until
-nothing new appears.  Recall is audited on a fixed number of the other nodes; if
-it falls short, new trees add to the graph.  Edges at or above the threshold
-remain, so no reported link is wrong.
+nothing new appears.  Trees are as many as the size of the largest label asks for.
+Recall is audited on a fixed number of the other nodes; if it falls short, new
+trees add to the graph, and if that doesn't help, all nodes of a label are
+compared.  Edges at or above the threshold remain, so no reported link is wrong.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and
 those with a null label, link with nothing.  Vectors of different lengths never
@@ -18,6 +19,7 @@ link.  Copies of a vector link with each other.  Repeated ids keep a row each.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +102,13 @@ def leaves(nodes: DataFrame, seed: int, trees: int = TREES, leaf: int = LEAF) ->
     return with_vec.groupBy("label", "dim", "tree", "code", "part").agg(F.collect_list(F.struct("node", "vec")).alias("members")).select("dim", "members")
 
 
+def trees_needed(n: int, threshold: float, leaf: int = LEAF, recall: float = RECALL) -> int:
+    """Trees of which one at least keeps a pair at the threshold in one leaf, with a chance of ``recall``, among ``n`` nodes."""
+    levels = min(DEPTH, max(0, ceil(log2(max(n, 1) / leaf))))
+    together = (1 - acos(min(1.0, max(-1.0, threshold))) / pi) ** levels
+    return ceil(log(1 - recall) / log(1 - together)) if 0 < together < recall else 1
+
+
 def nearest_in(groups: DataFrame, k: int, floor: float) -> DataFrame:
     """``v, u, sim``: of every member its ``k`` nearest in its list, above the floor."""
 
@@ -270,10 +279,16 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     nodes, members = nodes_of(vectors, id_col, vector_col, label_col)
     n = nodes.count()
     floor = min(FLOOR, threshold)
+    largest = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
+    needed = trees_needed(largest, threshold)
+    forests = ceil(needed / (2 * TREES))
+    trees = max(TREES, ceil(needed / forests))
     graph = None
     for attempt in range(ATTEMPTS):
-        start = nearest_in(leaves(nodes, seed=attempt), k, floor)
-        start = start if graph is None else start.union(graph)
+        start = graph
+        for forest in range(forests):
+            more = nearest_in(leaves(nodes, attempt * forests + forest, trees), k, floor)
+            start = more if start is None else start.union(more)
         graph = refine(start, nodes, n, k, floor, ROUNDS)
         links = graph.where(F.col("sim") >= threshold)
         both = scratch.materialise(links.select("v", "u").union(links.select("u", "v")).distinct())
@@ -281,6 +296,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         placed, exact = enlarge(nodes, both, saturated, threshold)
         if audit(both, nodes.join(exact, "node", "left_anti"), nodes, threshold) >= RECALL:
             break
+    else:  # the search missed its target: every node is compared with its whole label
+        placed, exact = enlarge(nodes, both, nodes, threshold)
     copies = nodes.select(F.col("node").alias("u"), "copies")
     sparse = both.join(copies, "u").groupBy(F.col("v").alias("node")).agg(F.sum("copies").alias("some"))
     by_node = placed.select("node", "copies", "least", "component").join(sparse, "node", "left").join(exact, "node", "left")
