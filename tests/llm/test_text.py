@@ -63,6 +63,21 @@ def test_leaks_against_brute_force(spark):
             assert dc.words_of(texts[r["doc_id"]][r["start"] : r["end"]]) == dc.words_of(dict(items)[r["item_id"]])
 
 
+def test_long_items_among_short_ones():
+    rng = random.Random(8)
+    make = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    items = [(k, make(rng.randint(10, 15))) for k in range(100)] + [(1000 + k, make(300)) for k in range(3)]
+    matcher = dc.Matcher(items)
+    found = 0
+    for k in range(15):
+        copy = list(items[100 + k % 3][1])
+        for _ in range(60):  # all edits that 300 words allow
+            p, kind = rng.randrange(len(copy)), rng.randrange(3)
+            copy[p : p + (kind != 1)] = [] if kind == 2 else ["other"]
+        found += 1000 + k % 3 in {m[0] for m in matcher.matches(" ".join(make(20) + copy + make(20)))}
+    assert found >= 14
+
+
 def test_no_benchmark(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     assert dc.find_leaks(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0

@@ -4,8 +4,10 @@ The CGK random walk turns words into a longer string, such that a small edit
 distance becomes a small Hamming distance.  Item-sized windows of a document and
 the benchmark items are embedded by the same walks; samples of a few positions
 are hashed, and an item and a window that agree in one sample are candidates.
-Enough samples are drawn for the target recall, measured on edited copies of the
-items themselves.  Candidates are verified by the exact edit distance in words.
+Enough samples are drawn for the target recall, measured for each class of item
+lengths on edited copies of the items themselves; where even the most samples miss
+it (long items), every window within the bound below is a candidate.  Candidates
+are verified by the exact edit distance in words.
 
 A window is embedded only where it can match at all: within ``k`` edits of an
 item of ``n`` words, it shares ``n - 2 - 3k`` of its three-word runs, at nearly
@@ -34,6 +36,8 @@ from tidemark.llm.tables import table
 
 WORD = re.compile(r"[^\W_]+")
 RATE, RECALL, SAMPLED, MOST_SAMPLES, SEED = 0.2, 0.98, 3, 256, 7
+#: Lengths of one class differ by this factor at most; edited copies measured in each.
+CLASS_FACTOR, TRIALS = 1.25, 100
 #: Benchmark words that go to the tasks at a time; a larger benchmark takes several passes.
 WORDS_HELD = 1_000_000
 #: Tokens of documents that a task remembers; beyond it the memory starts afresh.
@@ -124,37 +128,58 @@ class Matcher:
         where = (self.places[:samples] * (2 * n)).astype(np.int64)
         return seen[where, rows[:, None]]
 
+    def edited(self, k: int, rng: np.random.Generator) -> list[int]:
+        """A copy of item ``k`` with all edits allowed."""
+        c = list(self.coded[k])
+        for _ in range(self.allowed[k]):
+            p, kind = int(rng.integers(0, len(c))), int(rng.integers(0, 3))
+            if kind == 0:
+                c[p] = -int(rng.integers(1, 1 << 30))
+            elif kind == 1:
+                c.insert(p, -int(rng.integers(1, 1 << 30)))
+            elif len(c) > 1:
+                del c[p]
+        return c
+
     @cached_property
-    def samples(self) -> int:
-        """Samples for the target recall, measured on copies of the items with all edits allowed."""
+    def samples(self) -> dict[int, int | None]:
+        """By item length: samples for the target recall, measured on edited copies; none if no number allowed reaches it."""
         rng = np.random.default_rng(self.seed + 2)
-        hits = []
-        for k in rng.permutation(len(self.coded))[:200]:
-            c, m = list(self.coded[k]), self.allowed[k]
-            if not m:
-                continue
-            for _ in range(m):
-                p, kind = int(rng.integers(0, len(c))), int(rng.integers(0, 3))
-                if kind == 0:
-                    c[p] = -int(rng.integers(1, 1 << 30))
-                elif kind == 1:
-                    c.insert(p, -int(rng.integers(1, 1 << 30)))
-                elif len(c) > 1:
-                    del c[p]
-            n = len(self.coded[k])
-            agree = (self.embedded(c, n, MOST_SAMPLES) == self.embedded(self.coded[k], n, MOST_SAMPLES)).all(1)
-            hits.append(int(agree.argmax()) + 1 if agree.any() else MOST_SAMPLES * 2)
-        if not hits:
-            return 1
-        return int(min(MOST_SAMPLES, max(8, np.quantile(hits, self.recall, method="higher"))))
+        out: dict[int, int | None] = {}
+        by: dict[int, list[int]] = {}
+        for k, c in enumerate(self.coded):
+            by.setdefault(len(c), []).append(k)
+        lengths, beyond, least = sorted(by), False, 0
+        while lengths:
+            own = [n for n in lengths if n <= lengths[0] * CLASS_FACTOR]
+            lengths = lengths[len(own) :]
+            # The longest of a class need the most samples, and longer items no fewer.
+            worst = [k for k in by[own[-1]] if self.allowed[k]]
+            hits: list[int] = []
+            missed = 0
+            while worst and not beyond and len(hits) < TRIALS:
+                k = worst[len(hits) % len(worst)]
+                n = len(self.coded[k])
+                agree = (self.embedded(self.edited(k, rng), n, MOST_SAMPLES) == self.embedded(self.coded[k], n, MOST_SAMPLES)).all(1)
+                hits.append(int(agree.argmax()) + 1 if agree.any() else MOST_SAMPLES * 2)
+                missed += not agree.any()
+                beyond = missed > (1 - self.recall) * TRIALS
+            need = None if beyond else max(8, least, int(np.quantile(hits, self.recall, method="higher"))) if hits else 1
+            if need is not None and need > MOST_SAMPLES:
+                beyond, need = True, None
+            least = need or 0
+            out |= dict.fromkeys(own, need)
+        return out
 
     @cached_property
     def tables(self) -> dict[int, dict[tuple, set[int]]]:
         """By item length: (sample, symbols) -> items."""
         out: dict[int, dict[tuple, set[int]]] = {}
         for k, c in enumerate(self.coded):
+            if self.samples[len(c)] is None:
+                continue
             got = out.setdefault(len(c), {})
-            for s, symbols in enumerate(self.embedded(c, len(c), self.samples).tolist()):
+            for s, symbols in enumerate(self.embedded(c, len(c), self.samples[len(c)]).tolist()):
                 got.setdefault((s, *symbols), set()).add(k)
         return out
 
@@ -223,20 +248,35 @@ class Matcher:
             return []
         best: dict[int, tuple[int, int, int]] = {}
         reads: dict[tuple[int, int], set[int]] = {}
+        whole: dict[int, list[list[int]]] = {}
         for k, start in self.windows(coded):
             n, m = len(self.coded[k]), self.allowed[k]
+            if self.samples[n] is None:  # all windows are verified, close ones together
+                near = whole.setdefault(k, [])
+                if near and start - near[-1][0] <= 2 * m:
+                    near[-1][1] = start
+                else:
+                    near.append([start, start])
+                continue
             at = (max(0, start), n)
             if at not in reads:
                 # Words that no item has must differ from the padding and from each other's items.
                 window = [int(w) or -1 for w in coded[at[0] : at[0] + n]]
                 got = self.tables[n]
-                reads[at] = set().union(*(got.get((s, *symbols), ()) for s, symbols in enumerate(self.embedded(window, n, self.samples).tolist())))
+                reads[at] = set().union(*(got.get((s, *symbols), ()) for s, symbols in enumerate(self.embedded(window, n, self.samples[n]).tolist())))
             if k not in reads[at]:
                 continue
             lo = max(0, start - 2 * m)
             d, a, z = edit_distance(self.coded[k], coded[lo : start + n + 2 * m].tolist(), m)
             if d <= m and z > a and (k not in best or (d, lo + a) < best[k][:2]):
                 best[k] = d, lo + a, lo + z
+        for k, near in whole.items():
+            n, m = len(self.coded[k]), self.allowed[k]
+            for start, last in near:
+                lo = max(0, start - 2 * m)
+                d, a, z = edit_distance(self.coded[k], coded[lo : last + n + 2 * m].tolist(), m)
+                if d <= m and z > a and (k not in best or (d, lo + a) < best[k][:2]):
+                    best[k] = d, lo + a, lo + z
         if not best:
             return []
         spans = [m.span() for m in WORD.finditer(text)]
