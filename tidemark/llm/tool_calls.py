@@ -13,8 +13,9 @@ rounds that resolve one level each.  Calls on a cycle, or behind one, have no le
 Defined results: a call without a result is ``unanswered``, a result without a
 call is ``orphan`` (its call's columns are null), of several results for one call
 the one of the least turn, then content, counts and ``n_results`` tells how many.
-Repeated calls of one identifier count once (the one of the least turn).  Null
-identifiers link with nothing.  Dependencies on missing calls are errors but not
+Repeated calls of one identifier count once (the one of the least turn).  Calls and results
+with a null conversation or call identifier link with nothing and are left out of
+the result.  Dependencies on missing calls are errors but not
 waited for.  Null arguments are no JSON object.  Empty tables give no rows.
 """
 
