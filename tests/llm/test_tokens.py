@@ -130,5 +130,40 @@ def test_borders_agree_with_a_serial_round_robin():
         assert np.bincount(order[: w * length], minlength=3).tolist() == at[w].tolist()
 
 
+def serve(df, **options):
+    """Tokens of each source by window."""
+    got = packing.pack(df, **options).groupBy("sequence_id", "source").agg(F.sum("length").alias("n")).collect()
+    return {(r["sequence_id"], r["source"]): r["n"] for r in got}
+
+
+def test_sources_without_weight_come_last(spark):
+    rows = [(k, "word and word " * 40, ("a", "b", None)[k % 3]) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole = packing.pack(df, length=256).agg(F.sum("length")).first()[0]
+    got = serve(df, weights={"a": 1, "b": 0, None: 3}, length=256)
+    assert sum(got.values()) == whole
+    assert min(w for w, s in got if s == "b") >= max(w for w, s in got if s != "b")
+    assert sum(serve(df, weights={"a": 0, "b": 0, None: 0}, length=256).values()) == whole
+    with pytest.raises(ValueError):
+        packing.pack(df, weights={"a": -1})
+
+
+def test_rare_sources_share_a_queue(spark):
+    rows = [(k, "word and word " * 40, "big" if k % 2 else ("\x00" if k % 10 else f"s{k}")) for k in range(200)] + [(900, "none", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    pieces = packing.pack(df, length=512, most_queues=2, weights={"s0": 0.5}).collect()
+    total, windows = {}, {}
+    for p in pieces:
+        total.setdefault((p["doc_id"], p["source"], p["doc_tokens"]), []).append((p["start"], p["length"]))
+        windows.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    assert {(d, s) for d, s, _ in total} == {(r[0], r[2]) for r in rows}
+    for runs, whole in [(v, k[2]) for k, v in total.items()] + [(v, None) for v in windows.values()]:
+        at = 0
+        for start, n in sorted(runs):
+            assert start == at
+            at += n
+        assert whole in (None, at)
+
+
 def test_no_documents(spark):
     assert packing.pack(docs(spark).limit(0)).count() == 0
