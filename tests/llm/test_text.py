@@ -145,6 +145,52 @@ def test_span_dedup(spark):
     assert span_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_passages_over_fifty_words_are_caught(spark):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+
+    def words(n):
+        left = 0
+        for k in range(n):
+            left = left or rng.randint(3, 40)
+            left -= 1
+            yield rng.choice(vocabulary) + ("" if left else rng.choice(".,"))
+
+    passages = [list(words(rng.randint(51, 160))) for _ in range(60)]
+    rows, planted = [], set()
+    for k in range(900):
+        body = list(words(rng.randint(20, 400)))
+        if k % 3 == 0:
+            at, p = rng.randint(0, len(body)), rng.randrange(60)
+            body[at:at] = passages[p]
+            planted.add((p, k))
+        rows.append((k, " ".join(body), "clash", "clash"))
+    first = {p: min(k for q, k in planted if q == p) for p, _ in planted}
+    again = {k for p, k in planted if k != first[p]}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone string, ID string").repartition(5)
+    got = span_dedup.remove_repeats(docs)
+    assert got.columns[:3] == ["doc_id", "_gone", "ID"]
+    touched = {r["doc_id"] for r in got.where("n_removed > 0").collect()}
+    assert len(again) > 200 and len(touched & again) >= 0.95 * len(again)
+    assert len(touched - again) <= 0.02 * (900 - len(again))
+
+
+def test_runs_grow_and_long_sentences_stand_alone():
+    short, long = "one two three. ", "w " * 45 + "end. "
+    assert [(a, n) for a, n, _ in span_dedup.spans(short * 7)] == [(0, 6), (1, 6)]
+    assert [(a, n) for a, n, _ in span_dedup.spans(short + long + short)] == [(0, 2), (1, 2), (1, 1)]
+    assert list(span_dedup.spans("")) == [] and list(span_dedup.spans(" \n ... ")) == []
+    assert len(list(span_dedup.spans("a b. " * 50_000))) > 49_000
+
+
+def test_a_very_long_text(spark):
+    unit = "some words of a sentence here. "
+    text = "".join(f"number {k} and {unit}" for k in range(30_000))
+    docs = spark.createDataFrame([(1, text), (2, text + "A new end."), (2, text)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_removed"], r["text"][:9]) for r in span_dedup.remove_repeats(docs).collect())
+    assert got == [(1, 0, "number 0 "), (2, 30_000, ""), (2, 30_000, "A new end")]
+
+
 # --- licences
 
 
