@@ -24,6 +24,7 @@ from math import acos, ceil, log, log2, pi
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm import scratch
@@ -128,44 +129,70 @@ def nearest_in(groups: DataFrame, k: int, floor: float) -> DataFrame:
     return groups.mapInArrow(run, "v long, u long, sim double")
 
 
+def _best(v: np.ndarray, u: np.ndarray, sim: np.ndarray, k: int) -> pa.RecordBatch:
+    """Of each ``v`` its ``k`` best distinct neighbours among these edges."""
+    order = np.lexsort((-sim, u, v))
+    v, u, sim = v[order], u[order], sim[order]
+    once = np.append(True, (v[1:] != v[:-1]) | (u[1:] != u[:-1]))[: len(v)]
+    v, u, sim = v[once], u[once], sim[once]
+    order = np.lexsort((-sim, v))
+    v, u, sim = v[order], u[order], sim[order]
+    begins = np.flatnonzero(np.append(True, v[1:] != v[:-1])[: len(v)])
+    rank = np.arange(len(v)) - np.repeat(begins, np.diff(np.append(begins, len(v))))
+    keep = rank < k
+    return _edges(v[keep], u[keep], sim[keep])
+
+
 def best_lists(edges: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best distinct neighbours of every node."""
-    once = edges.groupBy("v", "u").agg(F.max("sim").alias("sim"))
-    lists = once.groupBy("v").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "u")), asc=False), 1, k).alias("near"))
-    return lists.select("v", F.explode("near").alias("e")).select("v", "e.u", "e.sim")
+    """``v, near``: the ``k`` best distinct neighbours of every node, best first, as ``sim, u, old``; one exchange."""
+    once = edges.repartition("v").groupBy("v", "u").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
+    return once.groupBy("v").agg(F.slice(F.sort_array(F.collect_list(F.struct("sim", "u", "old")), asc=False), 1, k).alias("near"))
+
+
+def edges_of(graph: DataFrame) -> DataFrame:
+    return graph.select("v", F.explode("near").alias("e")).select("v", "e.u", "e.sim")
+
 
+def local_join(graph: DataFrame, k: int, floor: float) -> DataFrame:
+    """Edges between neighbours (forward, and the best backward ones) of one node that beat one of the two's lists.
 
-def local_join(graph: DataFrame, nodes: DataFrame, k: int, floor: float) -> DataFrame:
-    """Edges between neighbours (forward and backward) of one node that beat one of the two's lists."""
-    back = best_lists(graph.select(F.col("u").alias("v"), F.col("v").alias("u"), "sim"), 2 * k)
-    around = graph.select("v", "u").union(back.select("v", "u")).union(graph.select("v", F.col("v").alias("u")).distinct()).distinct()
-    worst = graph.groupBy("v").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(F.lit(floor)).alias("worst"))
-    known = nodes.select(F.col("node").alias("u"), "dim", "vec").join(worst.withColumnRenamed("v", "u"), "u", "left")
-    lists = around.join(known, "u").groupBy("v", "dim").agg(F.collect_list(F.struct(F.col("u").alias("node"), "vec", F.coalesce("worst", F.lit(floor)).alias("worst"))).alias("members"))
+    ``graph`` has ``v, dim, vec, near``."""
+    edges = edges_of(graph)
+    ways = edges.select("v", "u", "sim", F.lit(True).alias("own")).union(edges.select(F.col("u").alias("v"), F.col("v").alias("u"), "sim", F.lit(False)))
+    # Ranks are cut before the exchange too, so a node that many others point to stays small.
+    rank = F.row_number().over(W.partitionBy("v").orderBy(F.desc("own"), F.desc("sim"), "u"))
+    around = ways.withColumn("rank", rank).where(F.col("rank") <= 3 * k).groupBy("v").agg(F.array_distinct(F.concat(F.collect_list("u"), F.array("v"))).alias("u"))
+    full = F.size("near") >= k
+    known = graph.select(F.col("v").alias("u"), "dim", "vec", F.when(full, F.element_at("near", -1)["sim"]).otherwise(F.lit(floor)).alias("worst"))
+    lists = around.select("v", F.explode("u").alias("u")).join(known, "u").groupBy("v", "dim").agg(F.collect_list(F.struct(F.col("u").alias("node"), "vec", "worst")).alias("members"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, members in _groups(batches, "members"):
-            ids = members.field("node").to_numpy(zero_copy_only=False)
-            worst = members.field("worst").to_numpy(zero_copy_only=False)
-            x = _unit(_matrix(members.field("vec"), row["dim"]))
-            s = x @ x.T
-            np.fill_diagonal(s, -2)
-            a, b = np.nonzero(s > worst[:, None])  # what improves a's list
-            if len(a):
-                yield _edges(ids[a], ids[b], s[a, b])
+        for batch in batches:
+            found = []
+            for row, members in _groups(iter([batch]), "members"):
+                ids = members.field("node").to_numpy(zero_copy_only=False)
+                worst = members.field("worst").to_numpy(zero_copy_only=False)
+                x = _unit(_matrix(members.field("vec"), row["dim"]))
+                s = x @ x.T
+                np.fill_diagonal(s, -2)
+                a, b = np.nonzero(s > worst[:, None])  # what improves a's list
+                found.append((ids[a], ids[b], s[a, b]))
+            if found:
+                yield _best(*(np.concatenate(c) for c in zip(*found)), k)
 
     return lists.select("dim", "members").mapInArrow(run, "v long, u long, sim double")
 
 
 def refine(start: DataFrame, nodes: DataFrame, n: int, k: int, floor: float, rounds: int) -> DataFrame:
+    """``v, dim, vec, near`` of all nodes, after neighbours of neighbours were tried until little changes."""
     spark = nodes.sparkSession
-    path = scratch.write(best_lists(start, k))
+    vectors = nodes.select(F.col("node").alias("v"), "dim", "vec")
+    state = lambda edges: scratch.write(vectors.join(best_lists(edges, k), "v", "left").withColumn("near", F.coalesce("near", F.array())))
+    path = state(start.withColumn("old", F.lit(True)))
     for _ in range(rounds):
         graph = spark.read.parquet(path)
-        both = graph.union(local_join(graph, nodes, k, floor))
-        nxt = scratch.write(best_lists(both, k))
-        new = spark.read.parquet(nxt)
-        fresh = new.join(graph, ["v", "u"], "left_anti").count()
+        nxt = state(edges_of(graph).withColumn("old", F.lit(True)).union(local_join(graph, k, floor).withColumn("old", F.lit(False))))
+        fresh = spark.read.parquet(nxt).agg(F.sum(F.size(F.filter("near", lambda e: ~e["old"])))).first()[0] or 0
         scratch.drop(spark, path)
         path = nxt
         if fresh <= SETTLED * n:
@@ -285,14 +312,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     trees = max(TREES, ceil(needed / forests))
     graph = None
     for attempt in range(ATTEMPTS):
-        start = graph
+        start = graph and edges_of(graph)
         for forest in range(forests):
             more = nearest_in(leaves(nodes, attempt * forests + forest, trees), k, floor)
             start = more if start is None else start.union(more)
         graph = refine(start, nodes, n, k, floor, ROUNDS)
-        links = graph.where(F.col("sim") >= threshold)
+        links = edges_of(graph).where(F.col("sim") >= threshold)
         both = scratch.materialise(links.select("v", "u").union(links.select("u", "v")).distinct())
-        saturated = links.groupBy(F.col("v").alias("node")).agg(F.count("*").alias("c")).where(F.col("c") >= k)
+        saturated = graph.where((F.size("near") >= k) & (F.element_at("near", -1)["sim"] >= threshold)).select(F.col("v").alias("node"))
         placed, exact = enlarge(nodes, both, saturated, threshold)
         if audit(both, nodes.join(exact, "node", "left_anti"), nodes, threshold) >= RECALL:
             break
