@@ -28,6 +28,26 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
+#: States of a table's own triggers, by name.
+STATES = "SELECT t.tgname, t.tgenabled FROM pg_trigger t JOIN pg_class c ON c.oid = t.tgrelid JOIN pg_namespace n ON n.oid = c.relnamespace WHERE NOT t.tgisinternal AND n.nspname = '{schema}' AND c.relname = '{table}'"
+
+
+def hooks_of(spark: SparkSession, job: config.JobConfig):
+    """What switches the target's triggers, and what tells their states, where the job's target section has
+    ``hooks``: a JDBC place (``url, user, password, driver, schema``), and its own ``states`` query if it needs one."""
+    where = job.target.get("hooks")
+    if not where:
+        return None, None
+    from tidemark.sources.guards import Hooks
+    from tidemark.sources.readers import Statements, switch_statement
+
+    database, schema = Statements(spark, where), where.get("schema", "public")
+    escaped = lambda x: x.replace("'", "''")
+    query = where.get("states", STATES)
+    states = lambda table: dict(database.rows(query.format(schema=escaped(schema), table=escaped(table)), 2))
+    return Hooks(spark, job.target["path"], lambda table, hook, state: database.run(switch_statement(schema, table, hook, state))), states
+
+
 def main(argv: list[str] | None = None) -> int:
     args = arguments(argv)
     job = config.load(args.config)
@@ -35,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "sync":
         from tidemark.plans.sync import run_job
 
-        result = run_job(spark, job, force=args.force)
+        hooks, states = hooks_of(spark, job)
+        result = run_job(spark, job, hooks, states, force=args.force)
         for t in result.tables:
             print(t.table, t.status, t.error or "", t.stats.row() if t.stats else "")
         return result.exit_code

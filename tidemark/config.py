@@ -52,11 +52,18 @@ class TableConfig:
     skip_bad_rows: bool | None = None
     disable_triggers_during_load: bool | None = None
     lookback_minutes: int = 0
-    declared_unique: bool = True
     columns: dict[str, dict] = field(default_factory=dict)
     primary_key: list[str] = field(default_factory=list)
     unique: dict[str, list[str]] = field(default_factory=dict)
+    source_columns: dict[str, dict] = field(default_factory=dict)
+    source_primary_key: list[str] = field(default_factory=list)
+    source_unique: dict[str, list[str]] = field(default_factory=dict)
+    #: Conditions of the target (``message``, ``condition``) and foreign keys (``columns``, ``table``, ``keys``).
+    checks: list[dict] = field(default_factory=list)
+    references: list[dict] = field(default_factory=list)
     sequence_column: str | None = None
+    #: The sequence before its first run: ``last_value, is_called, increment, least, most``.
+    sequence: dict = field(default_factory=dict)
 
     @property
     def key(self) -> str:
@@ -72,7 +79,6 @@ class JobConfig:
     sleep_seconds: float = 0
     max_retries: int = 1
     retry_delay: float = 10
-    checkpoint_file: str | None = None
     error_table: str = "migration_error_log"
     timezone: str = "UTC"
     default_load_type: str = "full"
@@ -91,7 +97,10 @@ class JobConfig:
     fail_on_error_log_failure: bool = True
     use_advisory_lock: bool = True
     advisory_lock_key: int = 0
-    reset_sequences: bool = False
+    lock_lease_seconds: float = 120
+    reset_sequences: bool = True
+    #: Files of past versions are removed after so many hours; None keeps them.
+    vacuum_hours: float | None = 24
 
     def load_type(self, table: TableConfig) -> str:
         return "skip" if not table.enabled else (table.load_type or self.default_load_type).lower()

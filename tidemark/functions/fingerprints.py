@@ -22,12 +22,24 @@ def row_text(columns: Sequence[str | Column]) -> Column:
     return F.concat_ws(FIELD_MARK, *(F.coalesce(c.cast("string"), F.lit(NULL_MARK)) for c in cells))
 
 
-def half(text: Column, second: bool) -> Column:
-    """A half of the text's md5 as a signed 64-bit number."""
-    return F.conv(F.substring(F.md5(text), 17 if second else 1, 16), 16, -10).cast("decimal(20,0)")
+def half(digest: Column, second: bool) -> Column:
+    """A half of an md5 in hex as a signed 64-bit number."""
+    return F.conv(F.substring(digest, 17 if second else 1, 16), 16, -10).cast("long")
 
 
 def multiset_hash(text: Column, when: Column | None = None) -> Column:
-    """Aggregate: ``"<sum>:<sum>"`` over the rows (where ``when`` holds); no rows give ``0:0``."""
-    halves = [half(text, s) if when is None else F.when(when, half(text, s)) for s in (False, True)]
-    return F.concat_ws(":", *(F.coalesce(F.sum(h), F.lit(0)).cast("string") for h in halves))
+    """Aggregate: ``"<sum>:<sum>"`` over the rows (where ``when`` holds); no rows give ``0:0``.
+
+    Each half is summed in four pieces of 16 bits, as plain longs that can't overflow
+    below 2**47 rows; the exact decimal sum is put together once, at the end."""
+    digest = F.md5(text) if when is None else F.when(when, F.md5(text))
+    return F.concat_ws(":", *(_exact_sum(half(digest, s)).cast("string") for s in (False, True)))
+
+
+def _exact_sum(number: Column) -> Column:
+    pieces = [F.shiftright(number, 48), *(F.shiftright(number, bits).bitwiseAND(F.lit(0xFFFF)) for bits in (32, 16)), number.bitwiseAND(F.lit(0xFFFF))]
+    total = F.lit(0).cast("decimal(38,0)")
+    for p in pieces:
+        total = (total * F.lit(1 << 16).cast("decimal(6,0)")).cast("decimal(38,0)") + F.coalesce(F.sum(p), F.lit(0)).cast("decimal(19,0)")
+        total = total.cast("decimal(38,0)")
+    return total

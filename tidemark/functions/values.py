@@ -21,6 +21,30 @@ def typed(value: Any, kind: T.DataType) -> Column | None:
     return None if value in NULL_WORDS else F.lit(value if isinstance(value, (str, int, float, bool)) else str(value)).cast(kind)
 
 
+#: Marks of checkpoint texts that aren't a plain cast: microseconds of an instant, Base64 of bytes.
+MICROS, BYTES = "us:", "b64:"
+
+
+def stored(column: Column, kind: T.DataType) -> Column:
+    """A value as the text that a checkpoint holds; the same whatever the session's time zone is."""
+    if isinstance(kind, T.TimestampType):
+        return F.concat(F.lit(MICROS), F.unix_micros(column).cast("string"))
+    if isinstance(kind, T.BinaryType):
+        return F.concat(F.lit(BYTES), F.base64(column))
+    return column.cast("string")
+
+
+def recalled(text: str | None, kind: T.DataType) -> Column | None:
+    """The value of a checkpoint's text, as the column's own type."""
+    if text is None:
+        return None
+    if isinstance(kind, T.TimestampType) and text.startswith(MICROS):
+        return F.timestamp_micros(F.lit(int(text[len(MICROS) :])))
+    if isinstance(kind, T.BinaryType) and text.startswith(BYTES):
+        return F.unbase64(F.lit(text[len(BYTES) :]))
+    return F.lit(text).cast(kind)
+
+
 def _refuse(x: str) -> None:
     raise ValueError(x)
 
@@ -86,22 +110,104 @@ def array_literal(items: Column) -> Column:
     return F.when(items.isNotNull(), F.concat(F.lit("{"), F.array_join(quoted, ","), F.lit("}")))
 
 
-def loggable(column: str, kind: T.DataType) -> Column:
-    """A value as it goes into a log: exact decimals as text, bytes in Base64, times in ISO form."""
-    c = F.col(column)
+def is_array_literal(text: Column) -> Column:
+    return text.startswith("{") & text.endswith("}")
+
+
+def array_items(text: str | None) -> list[str | None] | None:
+    """The items of an array's text: a braced literal, or a Python literal (one that isn't a list is its only item).
+
+    Blank is null.  Raises ValueError for anything else."""
+    if text is None or not (text := text.strip()):
+        return None
+    if text.startswith("{") and text.endswith("}"):
+        return _braced(text[1:-1])
+    try:
+        made = ast.literal_eval(text)
+    except (ValueError, SyntaxError, MemoryError, RecursionError, TypeError):
+        raise ValueError("not an array") from None
+    return [None if x is None else str(x) for x in (made if isinstance(made, (list, tuple)) else [made])]
+
+
+def _braced(body: str) -> list[str | None]:
+    """Items parted by commas; quotes keep commas, braces and blanks, a backslash keeps the next character."""
+    items: list[str | None] = []
+    k, n = 0, len(body)
+    if not body.strip():
+        return items
+    while True:
+        item, quoted, inside = [], False, False
+        while k < n and (inside or body[k] != ","):
+            c = body[k]
+            if c == "\\" and k + 1 < n:
+                item.append(body[k + 1])
+                k += 1
+            elif c == '"':
+                inside, quoted = not inside, True
+            elif not inside and c in "{}":
+                raise ValueError("not a one-dimensional array")
+            elif inside or not c.isspace() or item:
+                item.append(c)
+            k += 1
+        if inside:
+            raise ValueError("an open quote")
+        word = "".join(item) if quoted else "".join(item).rstrip()
+        if not quoted and not word:
+            raise ValueError("an empty item")
+        items.append(None if not quoted and word.upper() == "NULL" else word)
+        if k >= n:
+            return items
+        k += 1
+
+
+@F.pandas_udf(T.StructType([T.StructField("items", T.ArrayType(T.StringType())), T.StructField("error", T.StringType())]))
+def _array_slow(values: pd.Series) -> pd.DataFrame:
+    out = []
+    for v in values:
+        try:
+            out.append((array_items(v), None))
+        except ValueError:
+            out.append((None, "is not an array"))
+    return pd.DataFrame(out, columns=["items", "error"])
+
+
+def array_checked(text: Column, element: T.DataType) -> Column:
+    """A struct ``items, error``: the array of a text, or why there is none.
+
+    Literals of plain unquoted items stay in generated code; others go to Python."""
+    clean = F.trim(text)
+    plain = clean.rlike(r'^\{[^{}"\\\s,]+(,[^{}"\\\s,]+)*\}$')
+    quick = F.transform(F.split(F.substr(clean, F.lit(2), F.length(clean) - 2), ","), lambda x: F.when(F.upper(x) != "NULL", x))
+    slow = _array_slow(F.when(~plain, clean))
+    items = F.when(plain, quick).otherwise(slow["items"])
+    made = F.transform(items, lambda x: x.try_cast(element))
+    wrong = F.exists(F.zip_with(items, made, lambda a, b: a.isNotNull() & b.isNull()), lambda x: x)
+    error = F.when(~plain & slow["error"].isNotNull(), slow["error"]).when(wrong, F.lit("holds an item of another type"))
+    return F.struct(F.when(error.isNull(), made).alias("items"), error.alias("error"))
+
+
+def loggable(value: Column, kind: T.DataType) -> Column:
+    """A value as it goes into a log: exact decimals as text, bytes in Base64, times in ISO form; so within containers."""
     if isinstance(kind, T.DecimalType):
-        return c.cast("string")
+        return value.cast("string")
     if isinstance(kind, T.BinaryType):
-        return F.base64(c)
+        return F.base64(value)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.translate(c.cast("string"), " ", "T")
-    if isinstance(kind, T.DateType):
-        return c.cast("string")
-    return c
+        return F.translate(value.cast("string"), " ", "T")
+    if isinstance(kind, (T.DateType, T.DayTimeIntervalType, T.YearMonthIntervalType)):
+        return value.cast("string")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: loggable(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*(loggable(value[f.name], f.dataType).alias(f.name) for f in kind)))
+    if isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(e["key"].cast("string").alias("key"), loggable(e["value"], kind.valueType).alias("value")))
+        return F.map_from_entries(entries)
+    return value
 
 
 def row_json(schema: T.StructType) -> Column:
-    return F.to_json(F.struct(*(loggable(f.name, f.dataType).alias(f.name) for f in schema)), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*(loggable(F.col(f.name), f.dataType).alias(f.name) for f in schema)), {"ignoreNullFields": "false"})
 
 
 def joined_key(keys: list[str]) -> Column:

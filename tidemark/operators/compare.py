@@ -82,7 +82,7 @@ def compare_buckets(source: DataFrame, target: DataFrame, column: str, granulari
         cells += [F.coalesce(f"{side}_{n}", F.lit("0:0")).alias(f"{side}_{n}") for n in ("key_hash", "row_hash")]
     full = both.select(*cells)
     found = status(F.col("source_row_count"), F.col("target_row_count"), (F.col("source_key_hash"), F.col("target_key_hash")), (F.col("source_row_hash"), F.col("target_row_hash")))
-    return full.withColumn("count_difference", F.col("source_row_count") - F.col("target_row_count")).withColumn("status", found)
+    return full.withColumn("count_difference", F.col("source_row_count") - F.col("target_row_count")).withColumn("status", found).orderBy("bucket_value")
 
 
 def mismatches(compared: DataFrame) -> DataFrame:

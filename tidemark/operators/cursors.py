@@ -63,21 +63,30 @@ def numbered(df: DataFrame, cursor: str, order: Sequence[str] | None = None, nam
     return df.withColumn(name, F.row_number().over(W.partitionBy(cursor).orderBy(*in_order([cursor, *rest]))))
 
 
-def seen_window(df: DataFrame, cursor: str, upper: Any, last: Any = None, seen: int = 0, name: str = "rn") -> DataFrame:
-    """Rows of a table with repeats beyond the ``seen`` rows of cursor value ``last``, with their numbers.
+def seen_window(df: DataFrame, cursor: str, upper: Any, last: Any = None, seen: int = 0) -> DataFrame:
+    """Rows of a table with repeats beyond the ``seen`` rows of cursor value ``last``.
 
-    The bound on the cursor stands before the numbering, so it reaches the scan.  Only
-    the rows of ``last`` itself need numbers to be skipped; other values have no state.
-    """
+    The bound on the cursor reaches the scan.  Only the rows of ``last`` itself are
+    numbered, by all other columns; those of other values are taken as they are."""
     bounded = df.where(F.col(cursor).isNotNull() & (F.col(cursor) <= F.lit(upper)))
-    if last is not None:
-        bounded = bounded.where(F.col(cursor) >= F.lit(last))
-    found = numbered(bounded, cursor, name=name)
-    return found if last is None else found.where((F.col(cursor) > F.lit(last)) | ((F.col(cursor) == F.lit(last)) & (F.col(name) > seen)))
+    if last is None:
+        return bounded
+    beyond = bounded.where(F.col(cursor) > F.lit(last))
+    at = bounded.where(F.col(cursor) == F.lit(last))
+    rest = numbered(at, cursor, name="_rn").where(F.col("_rn") > seen).drop("_rn") if seen else at
+    return beyond.union(rest)
 
 
 def seen_page(df: DataFrame, cursor: str, upper: Any, limit: int, last: Any = None, seen: int = 0) -> DataFrame:
-    return seen_window(df, cursor, upper, last, seen).orderBy(F.col(cursor).asc_nulls_last(), "rn").limit(limit).drop("rn")
+    """The next page in the order of the cursor and all other columns: top-k alone, nothing is numbered."""
+    order = in_order([cursor, *(c for c in df.columns if c != cursor)])
+    bounded = df.where(F.col(cursor).isNotNull() & (F.col(cursor) <= F.lit(upper)))
+    if last is None:
+        return bounded.orderBy(*order).limit(limit)
+    bounded = bounded.where(F.col(cursor) >= F.lit(last))
+    at = bounded.where(F.col(cursor) == F.lit(last)).orderBy(*order).offset(seen).limit(limit)
+    beyond = bounded.where(F.col(cursor) > F.lit(last)).orderBy(*order).limit(limit)
+    return at.union(beyond).orderBy(*order).limit(limit)
 
 
 def seen_count_left(df: DataFrame, cursor: str, upper: Any, last: Any = None, seen: int = 0) -> DataFrame:

@@ -8,6 +8,7 @@ data is never taken for a missing row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -40,9 +41,12 @@ def upsert_actions(target: DataFrame, source: DataFrame, keys: Sequence[str], cu
 
 def upserted(actions: DataFrame, columns: Sequence[str], keys: Sequence[str], source_columns: Sequence[str]) -> DataFrame:
     """The new table from its actions; columns that the source lacks keep the target's value."""
+    return actions.select(*upserted_cells(columns, keys, source_columns))
+
+
+def upserted_cells(columns: Sequence[str], keys: Sequence[str], source_columns: Sequence[str]) -> list[Column]:
     take = F.col("action").isin("insert", "update")
-    cells = [F.col(c) if c in keys else F.when(take, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) if c in source_columns else F.col(f"t_{c}").alias(c) for c in columns]
-    return actions.select(*cells)
+    return [F.col(c) if c in keys else F.when(take, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) if c in source_columns else F.col(f"t_{c}").alias(c) for c in columns]
 
 
 def action_counts(actions: DataFrame) -> DataFrame:
@@ -59,21 +63,44 @@ def matched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFr
     return source.join(target.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def append_actions(target: DataFrame, source: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
-    """Source rows with ``action``: ``insert``, or ``conflict`` where a declared unique key is taken,
-    in the target or by an earlier row of the batch (by all columns, nulls last)."""
-    if not unique:
+def _all_unique(unique: Sequence) -> list[tuple[str, ...]]:
+    """Keys as a list of column lists; one list of names counts as one key."""
+    if unique and all(isinstance(c, str) for c in unique):
+        return [tuple(unique)]
+    return [tuple(u) for u in unique]
+
+
+def append_actions(target: DataFrame, source: DataFrame, unique: Sequence = ()) -> DataFrame:
+    """Source rows with ``action``: ``insert``, or ``conflict`` where any declared unique key is taken,
+    in the target or by an earlier row of the batch (by all columns, nulls last).
+
+    ``unique`` is one key or a list of keys; a null in a key is equal to nothing."""
+    keys = _all_unique(unique)
+    if not keys:
         return source.withColumn("action", F.lit("insert"))
-    first = W.partitionBy(*unique).orderBy(*(F.col(c).asc_nulls_last() for c in source.columns))
-    ranked = source.withColumn("_rank", F.row_number().over(first))
-    taken = target.select(*(F.col(c).alias(f"_{c}") for c in unique), F.lit(True).alias("_taken")).distinct()
-    joined = ranked.join(taken, [F.col(c) == F.col(f"_{c}") for c in unique], "left")
-    # A null in a unique key is equal to nothing.
-    free = F.lit(False)
-    for c in unique:
-        free = free | F.col(c).isNull()
-    action = F.when(free | ((F.col("_rank") == 1) & F.col("_taken").isNull()), "insert").otherwise("conflict")
-    return joined.select(*source.columns, action.alias("action"))
+    found, marks = source, []
+    for n, key in enumerate(keys):
+        rank, taken = f"_rank{n}", f"_taken{n}"
+        first = W.partitionBy(*key).orderBy(*(F.col(c).asc_nulls_last() for c in source.columns))
+        held = target.select(*(F.col(c).alias(f"_{n}_{c}") for c in key), F.lit(True).alias(taken)).distinct()
+        found = found.withColumn(rank, F.row_number().over(first)).join(held, [F.col(c) == F.col(f"_{n}_{c}") for c in key], "left")
+        marks.append(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in key)) & ((F.col(rank) > 1) | F.col(taken).isNotNull()))
+    action = F.when(reduce(lambda a, b: a | b, marks), "conflict").otherwise("insert")
+    return found.select(*source.columns, action.alias("action"))
+
+
+def clashing(target: DataFrame, source: DataFrame, keys: Sequence[str], unique: Sequence) -> DataFrame:
+    """Keys of source rows that would take another row's unique key: one of the target's rows with another
+    business key, or of an earlier row of the batch (by business key)."""
+    out = source.select(*keys).limit(0)
+    for u in _all_unique(unique):
+        whole = source.dropna(subset=list(u)).select(*keys, *(c for c in u if c not in keys))
+        ranked = whole.withColumn("_rank", F.row_number().over(W.partitionBy(*u).orderBy(*keys)))
+        held = target.select(*(F.col(c).alias(f"_u_{c}") for c in u), *(F.col(k).alias(f"_k_{k}") for k in keys))
+        other = reduce(lambda a, b: a | b, (~F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
+        taken = whole.join(held, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_u_{c}") for c in u] + [other]), "left_semi")
+        out = out.union(ranked.where("_rank > 1").select(*keys)).union(taken.select(*keys))
+    return out.distinct()
 
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import names
@@ -49,16 +49,27 @@ def default_partition(registry: DataFrame, table: str) -> DataFrame:
     return registry.where((F.col("table_name") == table) & (F.col("bound_kind") == "DEFAULT"))
 
 
+def child_of(table: str, column: str, kind: str, granularity: str = "monthly", form: str | None = None, default_form: str | None = None) -> Column:
+    """The child that a row belongs to; rows without a value belong to the default one."""
+    name = names.range_name_column(table, names.period_column(column, granularity), granularity, form) if kind == "range" else names.list_name_column(table, F.col(column), form)
+    return F.when(F.col(column).isNotNull(), name).otherwise(F.lit(names.default_name(table, default_form)))
+
+
 class Planner:
     """Plans children for a table and its trigger targets, remembering what a run has ensured."""
 
+    #: Children that one batch may ask for; the driver names each of them.
+    MOST = 100_000
+
     def __init__(self) -> None:
         self.ensured: set[tuple[str, str, str]] = set()
 
     def plan(self, batch: DataFrame, table: str, column: str, kind: str, granularity: str = "monthly", form: str | None = None, registry: DataFrame | None = None) -> list[tuple]:
         """New registry rows for one batch; a row for each period or value, never for each row."""
         planned = plan_ranges(batch, table, column, granularity, form) if kind == "range" else plan_lists(batch, table, column, form)
-        rows = (missing(planned, registry) if registry is not None else planned).orderBy("lower_bound").collect()
+        rows = (missing(planned, registry) if registry is not None else planned).orderBy("lower_bound").limit(self.MOST + 1).collect()
+        if len(rows) > self.MOST:
+            raise ValueError(f"{table}.{column} asks for more than {self.MOST} partitions at once; its values don't suit a partition column")
         fresh = [tuple(r) for r in rows if (r["table_name"], r["bound_kind"], r["lower_bound"]) not in self.ensured]
         self.ensured |= {(r[0], r[2], r[3]) for r in fresh}
         return fresh

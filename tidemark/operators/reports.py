@@ -18,12 +18,39 @@ def disabled_hooks(registry: DataFrame) -> DataFrame:
     return registry.where("state = 'D'").select("schema_name", "table_name", "hook_name").orderBy("schema_name", "table_name", "hook_name")
 
 
+def still_disabled(registry: DataFrame, before: DataFrame) -> DataFrame:
+    """Hooks that are off after a load and weren't before it, in the report's order."""
+    key = ["schema_name", "table_name", "hook_name"]
+    return disabled_hooks(registry).join(before.where("state = 'D'").select(*key), key, "left_anti").orderBy(*key)
+
+
 def sequence_report(df: DataFrame, column: str, increment: int = 1) -> DataFrame:
     """The value a sequence must give next: beyond the largest (ascending) or smallest (descending)."""
     extreme = F.max(column) if increment > 0 else F.min(column)
     return df.agg(extreme.cast("long").alias("table_value")).select("table_value", (F.col("table_value") + increment).alias("next_value"))
 
 
+def sequence_columns(columns: DataFrame) -> DataFrame:
+    """Sequence-backed columns in order, from ``table_schema, table_name, column_name, sequence_name``."""
+    return columns.where("sequence_name is not null").select("table_schema", "table_name", "column_name", "sequence_name").orderBy("table_schema", "table_name", "column_name")
+
+
+def sequence_health(sequences: DataFrame, extremes: DataFrame) -> DataFrame:
+    """Each sequence beside its column's extreme value: what it gives next, and whether that is taken.
+
+    ``sequences`` has ``table_name, column_name, last_value, is_called, increment``; ``extremes`` has
+    ``table_name, column_name, low, high``."""
+    nxt = F.when(F.col("is_called"), F.col("last_value") + F.col("increment")).otherwise(F.col("last_value"))
+    up = F.col("increment") > 0
+    found = sequences.join(extremes, ["table_name", "column_name"], "left").withColumn("next_value", nxt).withColumn("table_value", F.when(up, F.col("high")).otherwise(F.col("low")))
+    behind = F.coalesce(F.when(up, F.col("next_value") <= F.col("table_value")).otherwise(F.col("next_value") >= F.col("table_value")), F.lit(False))
+    return found.select("table_name", "column_name", "table_value", "next_value", behind.alias("behind")).orderBy("table_name", "column_name")
+
+
+def table_counts(counts: DataFrame) -> DataFrame:
+    return counts.select("schema_name", "table_name", "live_rows").orderBy("schema_name", "table_name")
+
+
 @dataclass
 class Reconciliation:
     table_name: str

@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import JobConfig, TableConfig
 from tidemark.operators import compare
@@ -28,7 +29,7 @@ def sides(spark: SparkSession, job: JobConfig, table: TableConfig) -> tuple[Data
     common = [c for c in target.columns if c in source.columns]
     if not common:
         raise LookupError("no column in common")
-    found = detect_key_for_check(table.business_key_columns, describe(table.source_table, source), describe(table.target_table, target, table.columns, table.primary_key, table.unique))
+    found = detect_key_for_check(table.business_key_columns, describe(table.source_table, source, table.source_columns, table.source_primary_key, table.source_unique), describe(table.target_table, target, table.columns, table.primary_key, table.unique))
     cursor = table.incremental_column if job.load_type(table) == "incremental" else None
     # The source's values in the target's types, so that equal values have equal texts.
     cast = source.select(*(F.col(c).cast(target.schema[c].dataType).alias(c) for c in common))
@@ -41,12 +42,13 @@ def check_table(spark: SparkSession, job: JobConfig, table: TableConfig, run_id:
         source, target, common, keys, cursor = sides(spark, job, table)
         r = compare.compare_tables(source, target, common, keys, cursor).first()
         only = [c for c in read_table(spark, job.source, table.source_table).columns if c not in common]
+        extra = [c for c in Snapshot(spark, job.target["path"], table.target_table).schema.names if c not in common]
         return base | {
             "status": r["status"], "source_total": r["source_total"], "source_scope_count": r["source_row_count"], "target_total": r["target_row_count"],
             "target_difference": r["target_difference"], "source_incremental_null_count": r["source_null_cursors"],
             "source_min_incremental": r["source_min_cursor"], "source_max_incremental": r["source_max_cursor"], "target_min_incremental": r["target_min_cursor"], "target_max_incremental": r["target_max_cursor"],
             "key_columns": json.dumps(keys), "compared_columns": json.dumps(common), "source_key_hash": r["source_key_hash"], "target_key_hash": r["target_key_hash"],
-            "source_row_hash": r["source_row_hash"], "target_row_hash": r["target_row_hash"], "details": json.dumps({"missing_in_target_schema": only}),
+            "source_row_hash": r["source_row_hash"], "target_row_hash": r["target_row_hash"], "details": json.dumps({"missing_in_target_schema": only, "missing_in_source_schema": extra}),
         }
     except Exception as e:
         return base | {"status": compare.FAILED, "details": json.dumps({"error": str(e)[:2000]})}
@@ -63,8 +65,15 @@ def check_buckets(spark: SparkSession, job: JobConfig, table: TableConfig, run_i
 
 def check_job(spark: SparkSession, job: JobConfig, only: str | None = None, bucket: bool = False, bucket_column: str | None = None, granularity: str = "daily", log_table: str = "migration_accuracy_log", bucket_table: str = "migration_accuracy_bucket_log") -> tuple[DataFrame, DataFrame | None]:
     """Check every enabled table (or one target), and append the results to the target's logs."""
-    from pyspark.sql import types as T
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", job.timezone)
+    try:
+        return _check_job(spark, job, only, bucket, bucket_column, granularity, log_table, bucket_table)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
 
+def _check_job(spark: SparkSession, job: JobConfig, only: str | None, bucket: bool, bucket_column: str | None, granularity: str, log_table: str, bucket_table: str) -> tuple[DataFrame, DataFrame | None]:
     run_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:8]}"
     schema = T._parse_datatype_string(LOG)
     chosen = [t for t in job.tables if job.load_type(t) != "skip" and only in (None, t.target_table)]
@@ -81,5 +90,5 @@ def check_job(spark: SparkSession, job: JobConfig, only: str | None = None, buck
         kept = Snapshot(spark, job.target["path"], bucket_table, buckets.schema)
         part = kept.write_part(buckets)
         kept.commit([part], None, append=True)
-        buckets = spark.read.parquet(f"{kept.path}/{part}")
+        buckets = spark.read.parquet(f"{kept.path}/{part}").orderBy("source_table", "bucket_value")
     return out, buckets

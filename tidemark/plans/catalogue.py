@@ -186,8 +186,8 @@ def customer_checks(spark, sf_dir):
 
 
 _DIRTY = "SELECT * REPLACE (CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 19 = 0 THEN c_name || '-' || repeat('x', 40) ELSE c_name END AS c_name) FROM customer"
-_ERRORS = f"""SELECT *, CASE WHEN c_name IS NULL THEN 'c_name is NULL but target column is NOT NULL'
-    WHEN length(c_name) > 25 THEN 'c_name length ' || length(c_name) || ' exceeds target max length 25' END AS e FROM ({_DIRTY})"""
+_ERRORS = f"""SELECT *, CASE WHEN c_name IS NULL THEN 'c_name must not be null'
+    WHEN length(c_name) > 25 THEN 'c_name has ' || length(c_name) || ' characters, 25 are allowed' END AS e FROM ({_DIRTY})"""
 
 
 @query(f"SELECT 'customer' AS table_name, c_custkey::VARCHAR AS business_key, e AS error_message FROM ({_ERRORS}) WHERE e IS NOT NULL")

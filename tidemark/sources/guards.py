@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import logging
 import os
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -12,19 +14,65 @@ from pyspark.sql import SparkSession
 
 from tidemark.sources.snapshots import Files
 
+log = logging.getLogger("tidemark")
+
 
 class Lock:
-    """A file that one run at a time can create."""
+    """A file that one run at a time can create, and that is held for ``lease`` seconds after its last renewal.
+
+    A thread renews it while the run lives; a run that crashes leaves a lock that the next
+    one takes over once the lease has ended."""
+
+    def __init__(self, spark: SparkSession, root: str, key: int | str, lease: float = 120.0):
+        self.files, self.path, self.token, self.lease = Files(spark), f"{root.rstrip('/')}/_locks/{key}.lock", uuid.uuid4().hex, lease
+        self._ended = threading.Event()
+
+    def _text(self) -> str:
+        return json.dumps({"token": self.token, "pid": os.getpid(), "until": time.time() + self.lease})
 
-    def __init__(self, spark: SparkSession, root: str, key: int | str):
-        self.files, self.path, self.token = Files(spark), f"{root.rstrip('/')}/_locks/{key}.lock", uuid.uuid4().hex
+    def _holder(self, path: str) -> dict:
+        try:
+            return json.loads(self.files.read(path) or "{}")
+        except ValueError:
+            return {}
 
     def acquire(self) -> bool:
-        return self.files.write(self.path, json.dumps({"token": self.token, "pid": os.getpid(), "at": time.time()}), overwrite=False)
+        if not self.files.publish(self.path, self._text()):
+            held = self._holder(self.path)
+            if held.get("until", 0) > time.time() or not self._evict(held):
+                return False
+            if not self.files.publish(self.path, self._text()):
+                return False
+        self._ended.clear()
+        threading.Thread(target=self._renew, daemon=True).start()
+        return True
+
+    def _evict(self, held: dict) -> bool:
+        """Move a lapsed lock away; of several runs that try, one does."""
+        aside = f"{self.path}.{self.token}"
+        try:
+            self.files.rename(self.path, aside)
+        except Exception:  # another run was quicker
+            return False
+        moved = self._holder(aside)
+        if moved.get("token") != held.get("token"):  # not the one that lapsed: back it goes
+            try:
+                self.files.rename(aside, self.path)
+            except Exception:
+                log.warning("lock %s was taken twice", self.path)
+            return False
+        self.files.delete(aside)
+        return True
+
+    def _renew(self) -> None:
+        while not self._ended.wait(self.lease / 3):
+            if self._holder(self.path).get("token") != self.token:
+                return
+            self.files.replace(self.path, self._text())
 
     def release(self) -> None:
-        text = self.files.read(self.path)
-        if text and json.loads(text)["token"] == self.token:
+        self._ended.set()
+        if self._holder(self.path).get("token") == self.token:
             self.files.delete(self.path)
 
 
@@ -46,11 +94,14 @@ class Hooks:
             if state != "D":
                 self.apply(table, hook, "D")
 
-    def restore(self, table: str) -> None:
+    def restore(self, table: str, states: Callable[[str], dict[str, str]] | None = None) -> list[str]:
+        """Put a table's hooks back; with ``states`` (now), the names of those that are off all the same."""
         found = self.recorded()
-        for hook, state in found.pop(table, {}).items():
+        before = found.pop(table, {})
+        for hook, state in before.items():
             self.apply(table, hook, state)
         self.files.replace(self.path, json.dumps(found))
+        return sorted(h for h, state in states(table).items() if state == "D" and before.get(h, "O") != "D") if states else []
 
     def recover(self) -> list[str]:
         """Restore what a run that ended early has left; the tables that it was."""

@@ -25,9 +25,14 @@ def merge_stream(changes: DataFrame, root: str, table: str, keys: Sequence[str],
         if number <= done:
             return
         rows = merge.last_write(batch, keys, [F.col(cursor).desc_nulls_last(), *(F.col(c).desc_nulls_last() for c in batch.columns if c not in keys)]).drop("copies")
-        actions = merge.upsert_actions(target.read(), rows, keys, cursor)
-        part = target.write_part(merge.upserted(actions, target.schema.names, list(keys), rows.columns))
-        target.commit([part], {"batch": number})
+        rows = rows.persist()
+        try:
+            touched = target.files_with(rows, keys)
+            actions = merge.upsert_actions(target.read(touched), rows, keys, cursor)
+            files = target.write_files(merge.upserted(actions, target.schema.names, list(keys), rows.columns))
+        finally:
+            rows.unpersist()
+        target.commit([*target.without(touched), *files], {"batch": number}, unique_by=list(keys))
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer if continuous else writer.trigger(availableNow=True)).start()
