@@ -54,17 +54,40 @@ VERSION = "base-1"
 LEDGER = "blob string, rule_version string, findings array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
+#: Matches of one text that are put together at a time; work is linear in them but for this factor.
+CHUNK = 256
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, as a lambda's variable."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def in_chunks(items: Column, width, zero: Column, one) -> Column:
+    """``one(chunk, offset)`` of every ``CHUNK`` items, the offset being what ``width`` carries over the chunks before.
+
+    ``width(chunk, offset)`` is the offset behind a chunk."""
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int")), lambda c: F.slice(items, c * CHUNK + 1, CHUNK))
+
+    def placed(parts: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.array().cast("array<int>").alias("before"))
+        before = F.aggregate(parts, start, lambda acc, part: F.struct(width(part, acc["at"]).alias("at"), F.concat(acc["before"], F.array(acc["at"])).alias("before")), lambda acc: acc["before"])
+        return F.zip_with(parts, before, one)
+
+    return bound(chunks, placed)
+
+
 def spans(text: Column, rule: Rule, rank: int) -> Column:
     """Passing matches of a rule as an array of ``start, end, rank, kind``.
 
     The pieces between matches and the matches themselves alternate, so running
-    sums of their lengths are the offsets.
+    sums of their lengths are the offsets; they run over chunks of matches, so that
+    a text of very many matches takes time in proportion to them.
     """
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     between = F.transform(F.split(text, rule.pattern, -1), F.char_length)
     whole = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.char_length)
     tested = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(1)), F.char_length) if rule.of_group else whole
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("found"))
 
     def step(acc: Column, m: Column) -> Column:
         start = acc["at"] + m["gap"]
@@ -72,8 +95,15 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
         found = F.when(m["tested"] >= rule.least, F.concat(acc["found"], F.array(hit))).otherwise(acc["found"])
         return F.struct((start + m["size"]).alias("at"), found.alias("found"))
 
+    def one(chunk: Column, at: Column) -> Column:
+        return F.aggregate(chunk, F.struct(at.alias("at"), empty.alias("found")), step, lambda acc: acc["found"])
+
+    def behind(chunk: Column, at: Column) -> Column:
+        return F.aggregate(chunk, at, lambda acc, m: acc + m["gap"] + m["size"])
+
     matches = F.zip_with(F.arrays_zip(whole.alias("size"), tested.alias("tested")), F.slice(between, F.lit(1), F.size(whole)), lambda m, gap: F.struct(m["size"].alias("size"), m["tested"].alias("tested"), gap.alias("gap")))
-    return F.when(F.regexp_like(text, F.lit(rule.hint)), F.aggregate(matches, zero, step, lambda acc: acc["found"])).otherwise(empty)
+    made = bound(matches, lambda m: F.when(F.size(m) > 0, F.flatten(in_chunks(m, behind, F.lit(0), one))).otherwise(empty))
+    return F.when(F.regexp_like(text, F.lit(rule.hint)), made).otherwise(empty)
 
 
 def hinted(text: Column, rules: tuple[Rule, ...] = BASE) -> Column:
@@ -112,7 +142,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, path_col: str = "
         # Written first: where little is new, its known size spares the texts a shuffle.
         fresh = scratch.materialise(places.join(current.select("blob"), "blob", "left_anti"))
     fresh = fresh.select(F.col("blob").alias("b"), F.col("place.path").alias("p"))
-    unseen = rows.join(fresh.hint("shuffle_hash") if ledger is None else fresh, (rows["blob"] == fresh["b"]) & rows["path"].eqNullSafe(fresh["p"]), "left_semi")
+    unseen = rows.join(fresh, (rows["blob"] == fresh["b"]) & rows["path"].eqNullSafe(fresh["p"]), "left_semi")
     found = F.array_sort(F.concat(*(spans(F.col("text"), r, k) for k, r in enumerate(rules))))
     # A path can hold a blob twice; its findings are the same, so any copy will do.
     scanned = unseen.select("blob", F.lit(version).alias("rule_version"), found.alias("findings"))
@@ -134,15 +164,26 @@ def count_of(kind: str) -> Column:
 
 
 def redact(text: Column, findings: Column, mark: str = "[REDACTED]") -> Column:
-    """The text with every finding, merged where they overlap, replaced by a mark."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with every finding, merged where they overlap, replaced by a mark; the text itself where there is none.
+
+    The text is cut once for each chunk of findings, so no finding looks for its place in all of it."""
+
+    def behind(chunk: Column, at: Column) -> Column:
+        return F.aggregate(chunk, at, lambda acc, f: F.greatest(acc, f["end"]))
+
+    def one(chunk: Column, low: Column) -> Column:
+        def cut(piece: Column) -> Column:
+            def step(acc: Column, f: Column) -> Column:
+                kept = F.substring(piece, acc["at"] - low + 1, F.greatest(f["start"] - acc["at"], F.lit(0)))
+                out = F.when(f["start"] >= acc["at"], F.concat(acc["out"], kept, F.lit(mark))).otherwise(acc["out"])
+                return F.struct(F.greatest(acc["at"], f["end"]).alias("at"), out.alias("out"))
+
+            return F.aggregate(chunk, F.struct(low.alias("at"), F.lit("").alias("out")), step, lambda acc: acc["out"])
 
-    def step(acc: Column, f: Column) -> Column:
-        fresh = f["start"] >= acc["at"]
-        kept = F.substring(text, acc["at"] + 1, F.greatest(f["start"] - acc["at"], F.lit(0)))
-        return F.struct(F.greatest(acc["at"], f["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], kept, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+        return bound(F.substring(text, low + 1, behind(chunk, low) - low), cut)
 
-    return F.aggregate(findings, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    tail = F.substring(text, behind(findings, F.lit(0)) + 1, F.char_length(text))
+    return F.when(F.size(findings) > 0, F.concat(F.array_join(in_chunks(findings, behind, F.lit(0), one), ""), tail)).otherwise(text)
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
