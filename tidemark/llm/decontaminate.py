@@ -251,6 +251,8 @@ class Matcher:
         whole: dict[int, list[list[int]]] = {}
         for k, start in self.windows(coded):
             n, m = len(self.coded[k]), self.allowed[k]
+            if k in best and best[k][0] == 0 and best[k][1] <= max(0, start - 2 * m):
+                continue  # windows come by their starts: none is better than an exact copy before it
             if self.samples[n] is None:  # all windows are verified, close ones together
                 near = whole.setdefault(k, [])
                 if near and start - near[-1][0] <= 2 * m:
