@@ -145,12 +145,12 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: dict[str, Tool]) ->
     calls = scratch.materialise(once)
     wanted = calls.select(*key, F.explode(F.array_distinct("depends_on")).alias("on")).where("on is not null")
     ids = calls.select("conv_id", F.col("call_id").alias("on"))
-    edges = wanted.join(ids.hint("shuffle_hash"), ["conv_id", "on"], "left_semi").select(*key, "on")
-    missing = wanted.join(ids.hint("shuffle_hash"), ["conv_id", "on"], "left_anti").groupBy(*key).agg(F.array_sort(F.collect_set("on")).alias("missing"))
+    edges = wanted.join(ids, ["conv_id", "on"], "left_semi").select(*key, "on")
+    missing = wanted.join(ids, ["conv_id", "on"], "left_anti").groupBy(*key).agg(F.array_sort(F.collect_set("on")).alias("missing"))
     placed = levels(edges, calls)
     value = parsed(F.col("arguments"))
     checked = calls.withColumn("value", value).withColumn("errors", argument_errors(F.col("name"), F.col("arguments"), F.col("value"), tools))
-    linked = checked.join(placed, key).join(missing, key, "left").withColumn("called", F.lit(True)).join(answers.hint("shuffle_hash"), key, "full_outer")
+    linked = checked.join(placed, key).join(missing, key, "left").withColumn("called", F.lit(True)).join(answers, key, "full_outer")
     lost = F.transform(F.coalesce("missing", F.array().cast("array<string>")), lambda d: F.concat(F.lit("depends on missing call: "), d))
     errors = F.concat(F.coalesce("errors", F.array().cast("array<string>")), lost, F.when(F.col("called") & F.col("level").isNull(), F.array(F.lit("on a cycle"))).otherwise(F.array().cast("array<string>")))
     status = F.when(F.col("called").isNull(), "orphan").when(F.col("n_results").isNull(), "unanswered").otherwise("linked")
