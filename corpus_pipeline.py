@@ -2,7 +2,12 @@
 
 ``STAGES`` are applied in order; each works on all that its predecessor kept,
 written as Parquet and read again.  Every stage but the last returns the columns
-of ``documents``.  Rows of one ``doc_id`` count as one document.
+of ``documents`` (and any others that there are).
+
+In every stage a null text counts as empty.  Quality, secrets and packing take each
+row by its own text; near-duplicates and benchmark passages decide over ids, so rows
+of one ``doc_id`` stay or go together there, and rows without an id stay.  Repeated
+rows are kept or dropped alike.  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, packing, quality, scratch, secrets, simhash
-from tidemark.llm.tables import table
+from tidemark.llm.tables import table, unused
 
 #: Scores below it go.
 GOOD = 0.5
@@ -27,7 +32,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Documents whose id is not in ``ids``; those are written first, so the join knows their size."""
-    return docs.join(scratch.materialise(ids.distinct()), "doc_id", "left_anti").select(*docs.columns)
+    gone = scratch.materialise(ids.where("doc_id is not null").distinct())
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,18 +49,19 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark and ``n_chars`` counted anew where they were."""
+    path, blob, findings = unused(docs.columns, "path", "blob", "findings")
     found, _ = secrets.scan(docs, path_col="doc_id")
-    hits = found.where(F.size("findings") > 0).select(F.col("path").alias("_path"), F.col("blob").alias("_blob"), F.col("findings").alias("_findings")).distinct()
+    hits = found.where(F.size("findings") > 0).select(F.col("path").alias(path), F.col("blob").alias(blob), F.col("findings").alias(findings)).distinct()
     # Texts that can't hold a finding stay where they are; the few others meet theirs.
     may = secrets.hinted(F.coalesce("text", F.lit("")))
     some = docs.where(may)
-    same = some["doc_id"].eqNullSafe(F.col("_path")) & (secrets.address(some["text"]) == F.col("_blob"))
+    same = some["doc_id"].eqNullSafe(F.col(path)) & (secrets.address(some["text"]) == F.col(blob))
     joined = some.join(hits, same, "left")
-    text = F.when(F.col("_findings").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("_findings")))
+    text = F.when(F.col(findings).isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col(findings)))
     clean = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn("n_chars", F.when(F.col("_findings").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
+        clean = clean.withColumn("n_chars", F.when(F.col(findings).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
     return docs.where(~may).unionByName(clean.select(*docs.columns))
 
 

@@ -89,3 +89,22 @@ def test_stages_take_odd_rows(spark, sf):
         assert stage(spark, docs, sf).count() >= 2
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf).count() == 0
+
+
+def test_stages_with_clashing_names_ties_and_long_texts(spark, sf):
+    leak = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first()["text"]
+    secret = "token = abcdefghijklmnop"
+    long = " ".join(f"word{k}" for k in range(60_000))
+    rows = [(1, long + " " + secret, "x"), (2, "other words " + leak, "x"), (3, secret, "x"), (3, secret, "x"), (None, secret, "x"), (4, None, "x"), (5, long + " " + secret + "s", "x")]
+    rows = [(i, t, "en", "s", len(t or ""), a, a, a, a) for i, t, a in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, path string, _findings string, blob string, component_id string")
+    near = corpus_pipeline.drop_near_duplicates(spark, docs, sf)
+    assert sorted((r["doc_id"] or 0) for r in near.collect()) == [0, 1, 2, 3, 3, 4] and near.columns == docs.columns
+    clean = corpus_pipeline.drop_benchmark_leaks(spark, near, sf)
+    assert sorted((r["doc_id"] or 0) for r in clean.collect()) == [0, 1, 3, 3, 4]
+    safe = corpus_pipeline.redact_secrets(spark, clean, sf)
+    assert safe.columns == docs.columns and not safe.where("text like '%abcdefghijklmnop%'").count()
+    assert {(r["doc_id"], r["n_chars"]) for r in safe.collect()} >= {(3, 10), (None, 10), (1, len(long) + 11)}
+    pieces = corpus_pipeline.pack_sequences(spark, safe, sf)
+    assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {None, 1, 3, 4}
+    assert corpus_pipeline.drop_low_quality(spark, docs, sf).columns == docs.columns

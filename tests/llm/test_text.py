@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 from oracle import connect, same
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as dc
 from tidemark.llm import licenses, quality, registry, secrets, span_dedup, tool_calls
@@ -63,6 +64,45 @@ def test_leaks_against_brute_force(spark):
             assert dc.words_of(texts[r["doc_id"]][r["start"] : r["end"]]) == dc.words_of(dict(items)[r["item_id"]])
 
 
+def test_runs_skip_nothing_that_the_samples_find():
+    """Embedding every window of every text gives what the windows with enough common runs give."""
+    rng = random.Random(21)
+    make = lambda n: [f"w{rng.randrange(150)}" for _ in range(n)]
+    items = [(k, make(rng.randint(9, 30))) for k in range(12)]
+    matcher = dc.Matcher(items)
+    assert all(matcher.samples[len(w)] for _, w in items)
+    seen = 0
+    for _ in range(40):
+        body = make(rng.randint(0, 60))
+        copy = list(items[rng.randrange(12)][1])
+        for _ in range(rng.randint(0, int(0.25 * len(copy)))):
+            p, kind = rng.randrange(len(copy)), rng.randrange(3)
+            copy[p : p + (kind != 1)] = [] if kind == 2 else ["other"]
+        at = rng.randint(0, len(body))
+        text = " ".join(body[:at] + copy + body[at:])
+        coded, best = matcher.codes(text), {}
+        for n, table in matcher.tables.items():
+            for start in range(len(coded)):
+                window = [int(w) or -1 for w in coded[start : start + n]]
+                for s, symbols in enumerate(matcher.embedded(window, n, matcher.samples[n]).tolist()):
+                    for k in table.get((s, *symbols), ()):
+                        m = matcher.allowed[k]
+                        lo = max(0, start - 2 * m)
+                        d, a, z = dc.edit_distance(matcher.coded[k], coded[lo : start + n + 2 * m].tolist(), m)
+                        if d <= m and z > a:
+                            best[k] = min(best.get(k, (m + 1,)), (d, lo + a))
+        got = {k: d for k, _, _, d in matcher.matches(text)}
+        assert got == {matcher.items[k][0]: b[0] for k, b in best.items()}
+        seen += len(got)
+    assert seen > 25
+
+
+def test_an_exact_copy_ends_the_search():
+    item = [f"w{k % 7}" for k in range(40)]
+    matcher = dc.Matcher([(1, item)])
+    assert matcher.matches(" ".join(item * 300))[0][1:] == (0, len(" ".join(item)), 0)
+
+
 def test_long_items_among_short_ones():
     rng = random.Random(8)
     make = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
@@ -122,6 +162,37 @@ def test_ledger_scans_only_the_unseen(spark):
     assert sum(len(r["findings"]) for r in again.collect()) == 2
 
 
+def test_very_many_findings_in_one_text(spark):
+    import time
+
+    text = " ".join(f"é{'0123456789abcdef' * 2} token = {'x' * 14}" for _ in range(20_000))
+    df = spark.createDataFrame([(1, text), (2, "a" * 2_000_000), (3, "plain words " * 200_000)], "path long, text string")
+    began = time.time()
+    found, _ = secrets.scan(df)
+    got = df.join(found, "path").select("path", secrets.listed(found["findings"]).alias("s"), secrets.redact(df["text"], found["findings"]).alias("t"))
+    got = {r["path"]: (r["s"], r["t"]) for r in got.collect()}
+    assert got[1] == (spans_by_hand(text), " ".join("é[REDACTED] [REDACTED]" for _ in range(20_000)))
+    assert got[2] == ("hex:0:2000000", "[REDACTED]") and got[3] == ("", "plain words " * 200_000)
+    assert time.time() - began < 60
+
+
+def test_redaction_of_overlaps_across_chunks(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "CHUNK", 2)
+    text = "0123456789"
+    cases = [[], [(0, 3)], [(1, 3), (2, 5), (4, 6), (6, 7), (6, 9)], [(0, 9), (1, 2), (3, 4), (5, 10)], [(k, k + 1) for k in range(10)]]
+    rows = [(k, [(a, 0, z, "x") for a, z in c]) for k, c in enumerate(cases)]
+    df = spark.createDataFrame(rows, "k int, f array<struct<start:int,rank:int,end:int,kind:string>>")
+    got = {r["k"]: r["t"] for r in df.select("k", secrets.redact(F.lit(text), F.col("f"), "#").alias("t")).collect()}
+    want = {}
+    for k, c in enumerate(cases):
+        out, at = "", 0
+        for a, z in c:
+            out += text[at:a] + "#" if a >= at else ""
+            at = max(at, z)
+        want[k] = out + text[at:]
+    assert got == want
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "é token = 0123456789abcdef0123 end"), (2, "nothing")], "path long, text string")
     found, _ = secrets.scan(df)
@@ -294,6 +365,32 @@ def test_quality_on_held_out_rows(spark):
     assert sorted(((str(a), b) for a, b in got)) == sorted((str(r["doc_id"]), r["s"]) for r in column)
 
 
+def test_quality_on_the_sample(spark, sf):
+    """Held-out labels of the sample tables; the score must tell the classes apart far better than chance."""
+    from tidemark.llm.tables import table
+
+    small = sf.replace("sf0.001", "sf0.01")
+    got = registry.QUERIES["op9_compression_quality"](spark, small).join(table(spark, small, "labels").select("doc_id", "quality"), "doc_id").where("held_out").collect()
+    good, bad = ([r["score"] for r in got if r["quality"] == q] for q in (1, 0))
+    pairs = [(a > b) + 0.5 * (a == b) for a in good for b in bad]
+    assert len(pairs) > 100 and np.mean(pairs) > 0.9
+
+
+def test_learning_reads_whole_texts(spark):
+    """What tells the classes apart stands in the middle of long texts, where no first, middle or last part shows it."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    plain = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    docs, labels = [], []
+    for k in range(240):
+        bad = k % 3 == 0
+        docs.append((k, plain(1500) + (" $%&" * 1500 if bad else " " + plain(900)) + plain(2500)))
+        labels.append((k, int(not bad)))
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = quality.score(docs, quality.learn(docs, labels)).collect()
+    assert np.mean([(r["score"] >= 0.5) == (r["doc_id"] % 3 != 0) for r in got]) > 0.97
+
+
 def test_quality_without_labels(spark):
     docs, labels = corpus(spark, 40)
     assert {r["score"] for r in quality.score(docs, quality.learn(docs, labels.limit(0))).collect()} == {0.5}

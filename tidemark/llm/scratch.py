@@ -2,7 +2,8 @@
 
 Iterative operators cut their lineage by writing a Parquet table and reading it
 again.  The table lives under ``spark.checkpoint.dir``; only where that setting
-is missing (tests, notebooks) a folder of this machine takes its place.
+is missing and all of Spark is one process (tests, notebooks) a folder of this
+machine takes its place.  ``clear`` removes all tables of a session before its end.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ def root(spark: SparkSession) -> str:
     if app not in _roots:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
             base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         _roots[app] = f"{base.rstrip('/')}/tidemark-{app}"
         atexit.register(clear, spark)
