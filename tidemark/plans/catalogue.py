@@ -440,3 +440,6 @@ def disabled_hooks(spark, sf_dir):
 @query("SELECT n_nationkey, n_regionkey, 'orders_' || translate(n_name, '- :.', '____') AS partition_name FROM nation")
 def list_partition_names(spark, sf_dir):
     return read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", names.list_name_column("orders", F.col("n_name")).alias("partition_name"))
+
+
+from tidemark.plans import catalogue_runs  # noqa: E402, F401  (registers the rest)
