@@ -14,8 +14,11 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Sequence
 from functools import lru_cache
+from itertools import accumulate
 
+import ahocorasick
 import numpy as np
 import regex
 
@@ -31,6 +34,8 @@ FAST_PIECE = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++
 NOT_FAST = re.compile("[^\x00-\u024f]|\\s{1000}")
 #: Words that a worker remembers; beyond it the memory starts afresh.
 REMEMBERED = 500_000
+#: Characters of new pre-tokens that one pass takes (a longer one has a pass of its own), and what keeps them apart.
+TOGETHER, APART = 65_536, "\u0100"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -171,21 +176,20 @@ class PrefixCounter:
         for (a, b), r in self.rank.items():
             if (t := vocab[self.token[a] + self.token[b]]) not in self.halves:
                 self.made[t], self.halves[t] = r, (a, b)
-        #: Tokens by their bytes from the last to the first, as nested dicts; -1 holds the id.
-        self.backwards: dict = {}
+        #: Finds the tokens (length and id) that end at each byte, the longest first; bytes are Latin-1 characters.
+        self.ending = ahocorasick.Automaton()
         for b, i in vocab.items():
-            node = self.backwards
-            for x in reversed(b):
-                node = node.setdefault(x, {})
-            node[-1] = i
+            self.ending.add_word(b.decode("latin-1"), (len(b), i))
+        self.ending.make_automaton()
+        self.every_byte = all(bytes([x]) in vocab for x in range(256))
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, Sequence[int]] = {}
         self.chunks: dict[str, int] = {}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def _follows(self, a: int, b: int) -> bool:
-        """Whether ``b`` may stand right after ``a`` in an encoding.
+        """Whether ``b`` may stand right after ``a`` in an encoding; after nothing, where ``a`` is negative.
 
         Undo the merges of both tokens from the last to the first; the pair is
         wrong if the tokens that met at the boundary would have merged earlier.
@@ -194,6 +198,8 @@ class PrefixCounter:
         if (ok := self.pairs.get(key)) is None:
             rank, made, halves = self.rank, self.made, self.halves
             limit = 1 << 60
+            if a < 0:
+                ok = self._stands(b)
             while ok is None:
                 if (r := rank.get((a, b))) is not None and r < limit:
                     ok = False
@@ -228,43 +234,68 @@ class PrefixCounter:
             if (r := rank.get((left, right))) is not None and r < limit:
                 return False
 
-    def byte_counts(self, piece: bytes) -> list[int]:
-        """Tokens of ``piece[:j]`` for j from 0 to its length; the piece is one pre-token.
+    def byte_counts(self, pieces: list[bytes]) -> list[list[int]]:
+        """For each piece (one pre-token) the tokens of ``piece[:j]`` for j from 0 to its length.
 
-        Time is the length times the longest vocabulary token at most.
+        Time is the length times the longest vocabulary token at most.  All pieces go through
+        one pass, kept apart by a character that no token holds.
         """
-        n = len(piece)
-        counts, last = [0] * (n + 1), [-1] * (n + 1)
-        for j in range(1, n + 1):
-            node, k, ends = self.backwards, j, []
-            while k > 0 and (node := node.get(piece[k - 1])) is not None:
-                k -= 1
-                if (t := node.get(-1)) is not None:
-                    ends.append((k, t))
-            for k, t in reversed(ends):
-                if self._stands(t) if k == 0 else self._follows(last[k], t):
-                    counts[j], last[j] = counts[k] + 1, t
-                    break
-            else:
+        joined = APART.join(p.decode("latin-1") for p in pieces)
+        counts, last = [0] * (len(joined) + 1), [-1] * (len(joined) + 1)
+        pairs = self.pairs
+        for at, (size, t) in self.ending.iter(joined):
+            if last[at + 1] < 0:
+                k = at + 1 - size
+                a = last[k]
+                if (ok := pairs.get((a, t))) is None:
+                    ok = self._follows(a, t)
+                if ok:
+                    counts[at + 1], last[at + 1] = counts[k] + 1, t
+        out, start = [], 0
+        for p in pieces:
+            end = start + len(p)
+            if not self.every_byte and -1 in last[start + 1 : end + 1]:
                 raise ValueError("the vocabulary lacks a byte")
-        return counts
-
-    def piece_counts(self, piece: str) -> list[int]:
-        """Tokens of ``piece[:j]`` for j from 0 to its characters; the piece is one pre-token."""
-        if (got := self.pieces.get(piece)) is None:
-            counts = self.byte_counts(raw := piece.encode("utf-8"))
-            got = counts if len(raw) == len(piece) else [counts[j] for j in np.cumsum([0, *(len(c.encode("utf-8")) for c in piece)])]
-            if piece[0] == "'" and len(piece) == 3 and piece in ("'re", "'ve", "'ll"):
-                got[2] = 2  # cut short it is an apostrophe and a letter
-            if len(piece) <= 64:
-                if len(self.pieces) > REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[piece] = got
-        return got
+            out.append(counts[start : end + 1])
+            start = end + 1
+        return out
+
+    def _learn(self, pieces: list[str]) -> dict[str, Sequence[int]]:
+        """Tables of distinct new pre-tokens, those of usual length remembered."""
+        new: dict[str, Sequence[int]] = {}
+        at = 0
+        while at < len(pieces):
+            end, size = at, 0
+            while end < len(pieces) and (end == at or size + len(pieces[end]) <= TOGETHER):
+                size += len(pieces[end])
+                end += 1
+            raws = [p.encode("utf-8") for p in pieces[at:end]]
+            for piece, raw, counts in zip(pieces[at:end], raws, self.byte_counts(raws)):
+                if len(raw) > len(piece):
+                    counts = [counts[j] for j in accumulate((len(c.encode("utf-8")) for c in piece), initial=0)]
+                if piece in ("'re", "'ve", "'ll"):
+                    counts[2] = 2  # cut short it is an apostrophe and a letter
+                new[piece] = bytes(counts) if len(raw) < 256 else counts  # small, and no work for the garbage collector
+            at = end
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        self.pieces |= {p: counts for p, counts in new.items() if len(p) <= 64}
+        return new
+
+    def tables(self, pieces: list[str]) -> list[Sequence[int]]:
+        """For each piece (one pre-token) the tokens of ``piece[:j]`` for j from 0 to its characters."""
+        found = list(map(self.pieces.get, pieces))
+        if None in found:
+            new = self._learn(list(dict.fromkeys(p for p, f in zip(pieces, found) if f is None)))
+            found = [new[p] if f is None else f for p, f in zip(pieces, found)]
+        return found
+
+    def piece_counts(self, piece: str) -> Sequence[int]:
+        return self.tables([piece])[0]
 
     def plain_count(self, text: str) -> int:
         """Tokens of a text without special strings."""
-        return sum(self.piece_counts(p)[-1] for p in PIECE.findall(text))
+        return sum(counts[-1] for counts in self.tables(PIECE.findall(text)))
 
     def count(self, text: str) -> int:
         """Tokens of the text: the last entry of its prefix table, from the tables of its words."""
@@ -281,18 +312,25 @@ class PrefixCounter:
         if None in found or not first or first[-1].isspace():
             if RUN.search(text):
                 return self.plain_count(text)
-            if len(chunks) > REMEMBERED:
-                chunks.clear()
-            for k, f in enumerate(found):
-                if f is None:
-                    w = words[k]
-                    if (f := chunks.get(w)) is None:
-                        f = self.plain_count(" " + w)
-                        if len(w) <= 64:
-                            chunks[w] = f
-                    found[k] = f
+            if None in found:
+                new = self._words(list(dict.fromkeys(w for w, f in zip(words, found) if f is None)))
+                found = [new[w] if f is None else f for w, f in zip(words, found)]
         return self.plain_count(first) + sum(found)
 
+    def _words(self, words: list[str]) -> dict[str, int]:
+        """Tokens of distinct new words with a blank before them, which begins a pre-token."""
+        pieces, totals = PIECE.findall(" " + " ".join(words)), []
+        for p, counts in zip(pieces, self.tables(pieces)):
+            if p[0] == " ":
+                totals.append(counts[-1])
+            else:
+                totals[-1] += counts[-1]
+        new = dict(zip(words, totals, strict=True))
+        if len(self.chunks) > REMEMBERED:
+            self.chunks.clear()
+        self.chunks |= {w: n for w, n in new.items() if len(w) <= 64}
+        return new
+
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of ``text[:j]`` for every j from 0 to the number of characters."""
         if not (self.cut and any(s in text for s in self.special)):
