@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tidemark.llm import simhash, vector_dedup
+from tidemark.llm import components, simhash, vector_dedup
 from tidemark.llm.components import connected_components
 
 
@@ -71,6 +71,42 @@ def test_linking_is_exact(spark, rng):
     assert {(got[a] == got[b]) == (want[i] == want[j]) for i, a in enumerate(fps) for j, b in enumerate(fps)} == {True}
 
 
+def test_crowded_buckets_are_not_expanded(spark, rng, monkeypatch):
+    """Thousands of close fingerprints and two chains beside them: the same links, and no pairs within the crowd."""
+    base = 0x0123456789ABCDEF
+    fps = {base ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(i + 1)}
+    for start in (5, 6):
+        x = base
+        for step in range(start):  # by three bits, away from the crowd
+            x ^= 7 << (9 * step)
+            fps.add(x)
+    fps |= {int(x) for x in rng.integers(0, 1 << 63, 20, dtype=np.uint64)}
+    fps = sorted(fps)
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long").repartition(4)
+    pairs = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4]
+    root = union_find(len(fps), pairs)
+    want = {}
+    for f, r in zip(fps, root):
+        want.setdefault(r, set()).add(f)
+    for crowd in (1, 16, 10**9):
+        monkeypatch.setattr(simhash, "CROWD", crowd)
+        got = {}
+        for r in simhash.link_fingerprints(df).collect():
+            got.setdefault(r["component"], set()).add(r["fp"] & (2**64 - 1))
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+@pytest.mark.parametrize("hot", [1, 200])
+def test_join_of_hot_keys(spark, monkeypatch, hot):
+    monkeypatch.setattr(components, "HOT", hot)
+    left = spark.createDataFrame([(k, 1 if k < 900 else 2 if k < 950 else k if k < 990 else None) for k in range(1000)], "id int, c int")
+    right = spark.createDataFrame([(1, "a"), (960, "b"), (-1, "c")], "c int, x string")
+    for how in ("inner", "left"):
+        got = sorted(map(repr, components.join_hot(left, right, "c", how).select("id", "c", "x").collect()))
+        assert got == sorted(map(repr, left.join(right, "c", how).select("id", "c", "x").collect()))
+    assert components.join_hot(left.limit(0), right, "c").count() == 0
+
+
 def test_near_duplicates(spark):
     long = " ".join(f"w{k}" for k in range(400))
     rows = [(5, long, 1), (3, long, 1), (9, long.replace("w200", "changed"), 1), (4, "other text of its own here", 1), (7, "", 1), (8, None, 1), (8, None, 1), (6, "OTHER text of its own here", 1)]

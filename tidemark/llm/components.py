@@ -13,6 +13,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import scratch
 
+#: A key is hot if more than one in ``HOT`` of all rows have it; so there are fewer than ``HOT`` hot keys.
+HOT = 200
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``left`` (a written table) joined with ``right``, which has one row at most for a key, however many of
+    ``left`` share it: rows of hot keys stay where they are and meet theirs by a broadcast of fewer than ``HOT`` rows.
+
+    ``how`` is ``inner`` or ``left``; null keys meet nothing.  ``right`` has a column besides the key."""
+    hot = left.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > left.count() / HOT).where(F.col(key).isNotNull()).select(key)
+    hot = scratch.materialise(hot)
+    theirs = hot.join(F.broadcast(right.join(F.broadcast(hot), key)), key, how)
+    return left.join(F.broadcast(theirs), key).unionByName(left.join(F.broadcast(hot), key, "left_anti").join(right, key, how))
+
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """One row per node that has an edge: ``node``, ``component`` (its smallest node).

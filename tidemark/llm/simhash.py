@@ -10,7 +10,10 @@ probed in the Hamming ball of each group's threshold, and candidates verified.
 Equal fingerprints are one node throughout.  Before probing, each bucket's
 members are compared with the bucket's smallest and largest fingerprint alone
 and what that links is contracted; the probes then verify only pairs from
-different components, so a large group of copies is never expanded into pairs.
+different components.  Where many members of a bucket are of one component, its
+own probes meet the bucket's other members only, so a large group of copies is
+never expanded into pairs, and the rows of a component that holds a large share
+of all never gather in one task.
 
 A null text is empty; a text without words has fingerprint zero, which links
 like any other.  Repeated rows and ids keep a row each; an empty table gives none.
@@ -28,13 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import scratch
-from tidemark.llm.components import connected_components
+from tidemark.llm.components import connected_components, join_hot
 from tidemark.llm.tables import table
 
 WIDTH, DISTANCE, BITS, SEED = 4, 4, 64, 42
 #: What verifying a candidate weighs against shuffling a probe. Above one, as buckets
 #: are uneven and the estimate is a mean.
 CANDIDATE_WEIGHT = 2.0
+#: Members of one component from which on a bucket is crowded.
+CROWD = 16
 
 
 def shingles(text: str, width: int = WIDTH) -> list[bytes]:
@@ -194,9 +199,16 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     known = scratch.materialise(fps.join(first, fps["fp"] == first["node"], "left").select("fp", F.coalesce("component", "fp").alias("component")))
     index = known.select("fp", "component", buckets("fp", groups, ball=False).alias("k")).select("k.g", "k.key", F.col("fp").alias("y"), F.col("component").alias("cy"))
     probe = known.select("fp", "component", buckets("fp", groups, ball=True).alias("k")).select("k.g", "k.key", F.col("fp").alias("x"), F.col("component").alias("cx"))
-    found = probe.join(index, (probe["g"] == index["g"]) & (probe["key"] == index["key"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & near("x", "y", distance))
+    crowds = index.groupBy("g", "key", "cy").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
+    crowds = scratch.materialise(crowds.groupBy("g", "key").agg(F.max_by("cy", "n").alias("crowd")))
+    # Side 1: probes of the crowd's component, and members of others; side 0: other probes, and all members.
+    probe = probe.join(crowds, ["g", "key"], "left").withColumn("side", F.coalesce((F.col("cx") == F.col("crowd")).cast("int"), F.lit(0)))
+    sides = F.when(F.col("cy") != F.col("crowd"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    index = index.join(crowds, ["g", "key"], "left").withColumn("side", F.explode(sides))
+    same = (probe["g"] == index["g"]) & (probe["key"] == index["key"]) & (probe["side"] == index["side"])
+    found = probe.join(index, same & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & near("x", "y", distance))
     merged = connected_components(found, "cx", "cy").select(F.col("node").alias("component"), F.col("component").alias("above"))
-    return known.join(merged, "component", "left").select("fp", F.coalesce("above", "component").alias("component"))
+    return join_hot(known, merged, "component", "left").select("fp", F.coalesce("above", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, width: int = WIDTH) -> DataFrame:
@@ -205,7 +217,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = scratch.materialise(marks.groupBy("fp").agg(F.min("id").alias("least")))
     linked = scratch.materialise(distinct.join(link_fingerprints(distinct.select("fp"), distance), "fp"))
     names = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = scratch.materialise(linked.join(names, "component").select("fp", "component_id"))
+    named = scratch.materialise(join_hot(linked, names, "component").select("fp", "component_id"))
     return marks.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
