@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm import scratch
-from tidemark.llm.components import connected_components
+from tidemark.llm.components import connected_components, join_hot
 from tidemark.llm.tables import table
 
 THRESHOLD, NEIGHBOURS, LEAF, TREES, DEPTH = 0.93, 16, 96, 4, 24
@@ -330,7 +330,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     by_node = placed.select("node", "copies", "least", "component").join(sparse, "node", "left").join(exact, "node", "left")
     by_node = by_node.select("node", "least", "component", (F.col("copies") - 1 + F.coalesce("weight", "some", F.lit(0))).alias("n_links"))
     by_node = scratch.materialise(by_node)
-    named = by_node.join(by_node.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "n_links", "component_id")
+    named = join_hot(by_node, by_node.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "n_links", "component_id")
     out = members.join(named, "node", "left")
     out = out.select(F.col("id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
