@@ -96,6 +96,32 @@ def test_crowded_buckets_are_not_expanded(spark, rng, monkeypatch):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_exploded_tables_are_not_broadcast(spark, rng, monkeypatch):
+    """Unrelated fingerprints have no crowds, and a few kilobytes of them make a million probes: none goes to the driver."""
+    found = []
+    monkeypatch.setattr(simhash, "connected_components", lambda edges, a, b: found.append(edges) or connected_components(edges, a, b))
+    df = spark.createDataFrame([(int(x),) for x in rng.integers(-(1 << 63), 1 << 63, 3000)], "fp long")
+    assert simhash.link_fingerprints(df).count() == 3000
+    assert len(found) == 2
+    for edges, mark in zip(found, ("", "bit_count")):  # the second one's crowds may be broadcast
+        run = edges._jdf.queryExecution()
+        run.executedPlan().executeCollect()
+        plan = run.executedPlan().toString().split("== Initial Plan ==")[0]
+        joins = [x for x in plan.splitlines() if "Join" in x and mark in x]
+        assert joins and all("SortMergeJoin" in x for x in joins)
+
+
+def test_many_nodes_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(components, "LARGE", 0, raising=False)
+    plans = spark._jsparkSession.sharedState().statusStore()
+    before = plans.executionsCount()
+    got = connected_components(spark.createDataFrame([(k, k + 1) for k in range(40)], "a int, b int")).collect()
+    assert {r["component"] for r in got} == {0} and len(got) == 41
+    made = plans.executionsList(before, 1000)
+    made = [made.apply(k).physicalPlanDescription() for k in range(made.size())]
+    assert any("SortMergeJoin" in x for x in made) and not any("BroadcastExchange" in x for x in made)
+
+
 @pytest.mark.parametrize("hot", [1, 200])
 def test_join_of_hot_keys(spark, monkeypatch, hot):
     monkeypatch.setattr(components, "HOT", hot)

@@ -13,19 +13,27 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import scratch
 
+#: A table of more rows than this is never broadcast, whatever the session's threshold: the driver would hold a row for each node.
+LARGE = 50_000
 #: A key is hot if more than one in ``HOT`` of all rows have it; so there are fewer than ``HOT`` hot keys.
 HOT = 200
 
 
+def apart(right: DataFrame, rows: int) -> DataFrame:
+    """``right`` for a join: of ``rows`` rows (or whose other side has as many), merged by shuffles if they are many."""
+    return right.hint("merge") if rows > LARGE else right
+
+
 def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``left`` (a written table) joined with ``right``, which has one row at most for a key, however many of
     ``left`` share it: rows of hot keys stay where they are and meet theirs by a broadcast of fewer than ``HOT`` rows.
 
     ``how`` is ``inner`` or ``left``; null keys meet nothing.  ``right`` has a column besides the key."""
-    hot = left.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > left.count() / HOT).where(F.col(key).isNotNull()).select(key)
+    n = left.count()
+    hot = left.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > n / HOT).where(F.col(key).isNotNull()).select(key)
     hot = scratch.materialise(hot)
     theirs = hot.join(F.broadcast(right.join(F.broadcast(hot), key)), key, how)
-    return left.join(F.broadcast(theirs), key).unionByName(left.join(F.broadcast(hot), key, "left_anti").join(right, key, how))
+    return left.join(F.broadcast(theirs), key).unionByName(left.join(F.broadcast(hot), key, "left_anti").join(apart(right, n), key, how))
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -40,24 +48,25 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     labels_path = None
     for _ in range(max_rounds):
         pairs = spark.read.parquet(path)
-        if pairs.isEmpty():
+        n = pairs.count()  # nodes are twice as many at most
+        if not n:
             break
         # v's smaller neighbours are its u's; u has only larger ones here, but keeps itself.
         parent = pairs.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("parent"))
         parent = parent.union(pairs.select("u", "u").distinct()).groupBy("node").agg(F.min("parent").alias("parent"))
         p = scratch.materialise(parent)
         up = p.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-        p = scratch.materialise(p.join(up, "parent").select("node", F.col("grand").alias("parent")))
+        p = scratch.materialise(p.join(apart(up, n), "parent").select("node", F.col("grand").alias("parent")))
         to = p.select(F.col("node").alias("u"), F.col("parent").alias("pu"))
         tv = p.select(F.col("node").alias("v"), F.col("parent").alias("pv"))
-        moved = pairs.join(to, "u").join(tv, "v").where("pu <> pv")
+        moved = pairs.join(apart(to, n), "u").join(apart(tv, n), "v").where("pu <> pv")
         nxt = scratch.write(moved.select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct())
         if labels_path is None:
             labels = p.select("node", F.col("parent").alias("component"))
         else:
             old = spark.read.parquet(labels_path)
             step = p.select(F.col("node").alias("component"), F.col("parent").alias("above"))
-            labels = old.join(step, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+            labels = old.join(apart(step, n), "component", "left").select("node", F.coalesce("above", "component").alias("component"))
         new_labels = scratch.write(labels)
         scratch.drop(spark, path)
         if labels_path:

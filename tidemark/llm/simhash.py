@@ -15,6 +15,10 @@ own probes meet the bucket's other members only, so a large group of copies is
 never expanded into pairs, and the rows of a component that holds a large share
 of all never gather in one task.
 
+Spark's size estimates don't count what an explode adds, so tables of buckets and
+probes are never left to be broadcast: their joins are merges, and the driver holds
+no row for each fingerprint.
+
 A null text is empty; a text without words has fingerprint zero, which links
 like any other.  Repeated rows and ids keep a row each; an empty table gives none.
 """
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import scratch
-from tidemark.llm.components import connected_components, join_hot
+from tidemark.llm.components import apart, connected_components, join_hot
 from tidemark.llm.tables import table
 
 WIDTH, DISTANCE, BITS, SEED = 4, 4, 64, 42
@@ -193,20 +197,21 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     groups = plan(n, both, distance)
     own = fps.select("fp", buckets("fp", groups, ball=False).alias("k")).select("fp", "k.g", "k.key")
     ends = own.groupBy("g", "key").agg(F.min("fp").alias("first"), F.max("fp").alias("last")).where("first <> last")
-    stars = own.join(ends, ["g", "key"]).select("fp", F.explode(F.array("first", "last")).alias("other"))
+    stars = own.join(ends.hint("merge"), ["g", "key"]).select("fp", F.explode(F.array("first", "last")).alias("other"))
     stars = stars.where((F.col("fp") != F.col("other")) & near("fp", "other", distance))
     first = connected_components(stars, "fp", "other")
-    known = scratch.materialise(fps.join(first, fps["fp"] == first["node"], "left").select("fp", F.coalesce("component", "fp").alias("component")))
+    known = scratch.materialise(fps.join(apart(first, n), fps["fp"] == first["node"], "left").select("fp", F.coalesce("component", "fp").alias("component")))
     index = known.select("fp", "component", buckets("fp", groups, ball=False).alias("k")).select("k.g", "k.key", F.col("fp").alias("y"), F.col("component").alias("cy"))
     probe = known.select("fp", "component", buckets("fp", groups, ball=True).alias("k")).select("k.g", "k.key", F.col("fp").alias("x"), F.col("component").alias("cx"))
     crowds = index.groupBy("g", "key", "cy").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
     crowds = scratch.materialise(crowds.groupBy("g", "key").agg(F.max_by("cy", "n").alias("crowd")))
+    n_crowds = crowds.count()
     # Side 1: probes of the crowd's component, and members of others; side 0: other probes, and all members.
-    probe = probe.join(crowds, ["g", "key"], "left").withColumn("side", F.coalesce((F.col("cx") == F.col("crowd")).cast("int"), F.lit(0)))
+    probe = probe.join(apart(crowds, n_crowds), ["g", "key"], "left").withColumn("side", F.coalesce((F.col("cx") == F.col("crowd")).cast("int"), F.lit(0)))
     sides = F.when(F.col("cy") != F.col("crowd"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    index = index.join(crowds, ["g", "key"], "left").withColumn("side", F.explode(sides))
+    index = index.join(apart(crowds, n_crowds), ["g", "key"], "left").withColumn("side", F.explode(sides))
     same = (probe["g"] == index["g"]) & (probe["key"] == index["key"]) & (probe["side"] == index["side"])
-    found = probe.join(index, same & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & near("x", "y", distance))
+    found = probe.join(index.hint("merge"), same & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & near("x", "y", distance))
     merged = connected_components(found, "cx", "cy").select(F.col("node").alias("component"), F.col("component").alias("above"))
     return join_hot(known, merged, "component", "left").select("fp", F.coalesce("above", "component").alias("component"))
 
@@ -215,10 +220,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``id_col, fp, component_id`` of every row: the smallest id reachable over linked fingerprints."""
     marks = scratch.materialise(fingerprints(docs, id_col, text_col, width))
     distinct = scratch.materialise(marks.groupBy("fp").agg(F.min("id").alias("least")))
-    linked = scratch.materialise(distinct.join(link_fingerprints(distinct.select("fp"), distance), "fp"))
+    n = distinct.count()
+    linked = scratch.materialise(distinct.join(apart(link_fingerprints(distinct.select("fp"), distance), n), "fp"))
     names = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     named = scratch.materialise(join_hot(linked, names, "component").select("fp", "component_id"))
-    return marks.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return marks.join(apart(named, n), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
