@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, packing, quality, scratch, secrets, simhash
+from tidemark.llm.components import apart
 from tidemark.llm.tables import table, unused
 
 #: Scores below it go.
@@ -31,9 +32,9 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is not in ``ids``; those are written first, so the join knows their size."""
+    """Documents whose id is not in ``ids``; those are written first, so the join knows how many they are."""
     gone = scratch.materialise(ids.where("doc_id is not null").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(apart(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

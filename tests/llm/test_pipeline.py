@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, simhash
+from tidemark.llm import components, decontaminate, simhash
 from tidemark.llm.quality import learn, scorer
 
 
@@ -108,3 +108,17 @@ def test_stages_with_clashing_names_ties_and_long_texts(spark, sf):
     pieces = corpus_pipeline.pack_sequences(spark, safe, sf)
     assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {None, 1, 3, 4}
     assert corpus_pipeline.drop_low_quality(spark, docs, sf).columns == docs.columns
+
+
+def test_many_ids_to_drop_are_not_broadcast(spark, monkeypatch):
+    docs = spark.createDataFrame([(k % 50 or None, f"t{k}", k) for k in range(100)], "doc_id long, text string, n_chars long")
+    ids = spark.createDataFrame([(k,) for k in [None, *range(40), *range(40)]], "doc_id long")
+    for most, join in ((0, "SortMergeJoin"), (1000, "BroadcastHashJoin")):
+        monkeypatch.setattr(components, "LARGE", most)
+        kept = corpus_pipeline._without(docs, ids)
+        run = kept._jdf.queryExecution()
+        run.executedPlan().executeCollect()
+        plan = run.executedPlan().toString().split("== Initial Plan ==")[0]
+        assert join in plan and ("BroadcastExchange" in plan) == (most > 0)
+        assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted((k % 50, f"t{k}") for k in range(100) if k % 50 in (0, *range(40, 50)))
+        assert kept.columns == docs.columns
